@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from siltstone.llm import exact_dedup
+from siltstone.llm import chat, exact_dedup, packing, sharding, toxicity
 
 QUERIES = {
+    "op4_packing": packing.op4_packing,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op6_chat_formatting": chat.op6_chat_formatting,
+    "op7_sharding": sharding.op7_sharding,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 ORACLES = {
+    "op6_chat_formatting": chat.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
