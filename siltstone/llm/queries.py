@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from siltstone.llm import chat, exact_dedup, packing, sharding, toxicity
+from siltstone.llm import chat, exact_dedup, license_scan, metric_search, packing, pieces, sharding, toxicity
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
+    "op3_metric_search": metric_search.op3_metric_search,
     "op4_packing": packing.op4_packing,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_sharding": sharding.op7_sharding,
+    "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 ORACLES = {
+    "op1_license_scan": license_scan.SQL,
+    "op3_metric_search": metric_search.SQL,
     "op6_chat_formatting": chat.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
