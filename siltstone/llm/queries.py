@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltstone.llm import chat, exact_dedup, license_scan, metric_search, packing, pieces, sharding, toxicity
+from siltstone.llm import chat, exact_dedup, license_scan, metric_search, near_dedup, packing, pieces, sharding, toxicity
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_sharding": sharding.op7_sharding,
+    "op8_near_dedup": near_dedup.op8_near_dedup,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
