@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from siltstone.llm import chat, exact_dedup, license_scan, metric_search, near_dedup, packing, pieces, sharding, toxicity
+from siltstone.llm import chat, exact_dedup, license_scan, metric_search, near_dedup, packing, pieces, sharding, substring_dedup, toxicity
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_metric_search": metric_search.op3_metric_search,
     "op4_packing": packing.op4_packing,
     "op5_toxicity": toxicity.op5_toxicity,
