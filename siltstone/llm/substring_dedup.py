@@ -21,7 +21,7 @@ empty result. Other columns are ignored.
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import compress
 
 import numpy as np
@@ -177,22 +177,27 @@ def _shards(window: int):
     return run
 
 
-CLEAN = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
+CLEAN = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())]
 
 
-def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, versions, texts, spans = batch.columns
-        made: list[tuple[int, int, str]] = []
-        for version, text, found in zip(versions.to_pylist(), texts, spans.to_pylist(), strict=True):
-            words = (text.as_py() or "").encode().split()
-            keep = np.ones(len(words), dtype=bool)
-            for s in found or ():
-                if s["version"] == version:
-                    keep[s["start"] : s["stop"]] = False
-            left = words if keep.all() else list(compress(words, keep.tolist()))
-            made.append((len(words), len(words) - len(left), b" ".join(left).decode()))
-        yield pa.RecordBatch.from_arrays([ids, pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.string())], schema=CLEAN)
+def _clean(verbatim: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, versions, texts, spans, *carried = batch.columns
+            made: list[tuple[int, int, str]] = []
+            for version, text, found in zip(versions.to_pylist(), texts, spans.to_pylist(), strict=True):
+                raw = text.as_py() or ""
+                words = raw.encode().split()
+                keep = np.ones(len(words), dtype=bool)
+                for s in found or ():
+                    if s["version"] == version:
+                        keep[s["start"] : s["stop"]] = False
+                left = words if keep.all() else list(compress(words, keep.tolist()))
+                made.append((len(words), len(words) - len(left), raw if verbatim and left is words else b" ".join(left).decode()))
+            out = [ids, *(pa.array([m[i] for m in made], t) for i, (_, t) in enumerate(CLEAN[1:]))]
+            yield pa.RecordBatch.from_arrays(out + carried, names=[n for n, _ in CLEAN] + ["carried"] * len(carried))
+
+    return run
 
 
 def repeated_intervals(base: DataFrame, window: int, shard_passages: int) -> DataFrame:
@@ -209,22 +214,26 @@ def repeated_intervals(base: DataFrame, window: int, shard_passages: int) -> Dat
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     shards = max(1, -(-total // shard_passages))
-    rows = base.join(places, F.col("key") == F.col("of")).select("key", "place", "version", "text", "wanted")
+    rows = base.join(places, F.col("key") == F.col("of")).select("key", "place", "version", "text", "wanted", *(["carried"] if "carried" in base.columns else []))
     routed = rows.mapInArrow(_passages(window, shards), ROUTED_DDL)
     return routed.repartition("shard").sortWithinPartitions("shard", "place", "version", "start").mapInArrow(_shards(window), "key long, version long, start long, stop long")
 
 
-def remove_repeats(docs: DataFrame, window: int = 20, shard_passages: int = 60_000, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_removed, kept) of each row: ``kept`` are the words that stay, joined by one space."""
+def remove_repeats(docs: DataFrame, window: int = 20, shard_passages: int = 60_000, id_column: str = "doc_id", text_column: str = "text", carry: Sequence[str] = (), verbatim: bool = False) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept) of each row: ``kept`` are the words that stay, joined by one space.
+
+    ``carry`` names columns that come along in a struct ``carried``; with ``verbatim``, texts that lose nothing stay as they are.
+    """
     if window <= ANCHOR:
         raise ValueError(f"a window has more than {ANCHOR} words")
     text, doc_id = F.coalesce(docs[text_column], F.lit("")), docs[id_column].cast("long")
     version = F.xxhash64(text)
-    base = docs.select(F.coalesce(doc_id, version).alias("key"), F.coalesce(doc_id, F.lit(LAST)).alias("place"), version.alias("version"), text.alias("text"), doc_id.alias("doc_id"))
+    base = docs.select(F.coalesce(doc_id, version).alias("key"), F.coalesce(doc_id, F.lit(LAST)).alias("place"), version.alias("version"), text.alias("text"), doc_id.alias("doc_id"), *([F.struct(*[docs[c] for c in carry]).alias("carried")] if carry else []))
     found = repeated_intervals(base, window, shard_passages)
     spans = found.groupBy("key").agg(F.collect_list(F.struct("version", "start", "stop")).alias("spans")).withColumnRenamed("key", "of")
-    rows = base.join(spans, F.col("key") == F.col("of"), "left").select("doc_id", "version", "text", "spans")
-    return rows.mapInArrow(_clean, "doc_id long, n_words long, n_removed long, kept string")
+    rows = base.join(spans, F.col("key") == F.col("of"), "left").select("doc_id", "version", "text", "spans", *(["carried"] if carry else []))
+    kind = f", carried {base.schema['carried'].dataType.simpleString()}" if carry else ""
+    return rows.mapInArrow(_clean(verbatim), f"doc_id long, n_words long, n_removed long, kept string{kind}")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
