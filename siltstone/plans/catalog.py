@@ -1,6 +1,9 @@
-"""Query name to function and to SQL."""
+"""Every operator as a query over the driver's tables, with SQL for the same rows."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from siltstone.plans import queries_relational as relational
+from siltstone.plans import queries_tables as tables
+
+QUERIES = {**relational.QUERIES, **tables.QUERIES}
+ORACLES = {**relational.ORACLES, **tables.ORACLES}
