@@ -13,6 +13,7 @@ Rows that repeat, or have no id, are encoded one by one. An empty table gives an
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,7 +93,8 @@ class Vocabulary:
             raise ValueError("a piece goes on after a mark inside")
         self.unknown_score = least - 10.0
         self.longest = max(map(len, self.scores))
-        self.letters = [p.replace(MARK, " ") for p in self.pieces]
+        # What each id decodes to, as bytes.
+        self.letters = [bytes([int(p[3:5], 16)]) if k == BYTE else b" \xe2\x81\x87 " if k == UNKNOWN else b"" if k == CONTROL else p.replace(MARK, " ").encode() for p, k in zip(self.pieces, self.kinds, strict=True)]
 
     def fallback(self, char: str) -> list[int]:
         found = [self.bytes[b] for b in char.encode()]
@@ -113,6 +115,13 @@ def words(text: str) -> list[str]:
     return out + [held] * bool(held)
 
 
+def unmarked(text: str) -> list[str]:
+    """The marked words of a text, each without its first mark; single spaces need no closer look."""
+    if not text or MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
+        return [w[1:] for w in words(text)]
+    return text.split(" ")
+
+
 def segment(distinct: list[str], vocabulary: Vocabulary) -> dict[str, list[int]]:
     """Ids of each of the sorted words, by one walk through their trie."""
     scores, longest, unknown = vocabulary.scores, vocabulary.longest, vocabulary.unknown_score
@@ -159,22 +168,14 @@ class Codec:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.seen) >= CACHE:
             self.seen.clear()
-        cut_up = [words(t) for t in texts]
+        cut_up = [unmarked(t) for t in texts]
         new = set().union(*cut_up).difference(self.seen.keys())
-        for word, ids in segment(sorted(new), self.vocabulary).items():
-            self.seen[word] = np.array(ids, dtype="<i4").tobytes()
+        for word, ids in segment(sorted(MARK + w for w in new), self.vocabulary).items():
+            self.seen[word[1:]] = array("i", ids).tobytes()
         return [np.frombuffer(b"".join(map(self.seen.__getitem__, w)), dtype="<i4") for w in cut_up]
 
     def decode(self, ids: list[int]) -> str:
-        v = self.vocabulary
-        if BYTE in (kinds := {v.kinds[i] for i in set(ids)}) or kinds - {NORMAL}:
-            out: list[bytes] = []
-            for i in ids:
-                kind = v.kinds[i]
-                out.append(bytes([int(v.pieces[i][3:5], 16)]) if kind == BYTE else b" \xe2\x81\x87 " if kind == UNKNOWN else b"" if kind == CONTROL else v.letters[i].encode())
-            text = b"".join(out).decode(errors="replace")
-        else:
-            text = "".join(map(v.letters.__getitem__, ids))
+        text = b"".join(map(self.vocabulary.letters.__getitem__, ids)).decode(errors="replace")
         return text[1:] if text.startswith(" ") else text
 
 
