@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -47,6 +48,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle and checkpoint files that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet and read it back."""
     df.write.mode("overwrite").parquet(path)

@@ -11,7 +11,7 @@ r"""Near-duplicate groups by a chosen-path similarity join over word shingles.
    comparison keeps a spanning forest of its links, and components of those are the result.
 
 Two sets with similarity at the threshold are missed with a probability of at most 1 - ``recall`` by the trees, and of
-about 1e-8 by the comparison of minwise values, whose bound lies 5.7 standard deviations below the threshold.
+about 6e-8 by the comparison of minwise values, whose bound lies 5.3 standard deviations below the threshold.
 
 Defined cases: a null or empty text has no set and is linked with nothing. A text of fewer words than a shingle is one
 shingle. Rows without an id take part in nothing: their component is null and they are kept. Rows that repeat an id are
@@ -28,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut, table
+from siltstone.llm.common import cut, sweep, table
 from siltstone.llm.components import components
 from siltstone.llm.words import chunks, mix
 
-VALUES = 64
+#: Minwise values for comparison (16 bits each), of which the first TOKENS are kept with 32 bits to name nodes.
+VALUES, TOKENS = 128, 24
+BRANCHES = 2
 SLOTS = 1 << 18
 
 _rng = np.random.default_rng(64)
@@ -56,12 +58,12 @@ def sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, dtype=np.uint64)
 
 
-def minwise(values: np.ndarray) -> np.ndarray:
-    """The upper halves of the least values under each of the random maps."""
+def minwise(values: np.ndarray) -> tuple[bytes, bytes]:
+    """The least values under each of the random maps: 16 bits of all, and 32 bits of the first ones."""
     best = np.full(VALUES, 2**64 - 1, dtype=np.uint64)
     for low in range(0, len(values), 2048):
         np.minimum(best, ((values[low : low + 2048] ^ _XOR) * _TIMES).min(axis=1), out=best)
-    return (best >> np.uint64(32)).astype(np.uint32)
+    return (best >> np.uint64(16)).astype("<u2").tobytes(), (best[:TOKENS] >> np.uint64(32)).astype("<u4").tobytes()
 
 
 def digest(values: np.ndarray) -> bytes:
@@ -70,19 +72,19 @@ def digest(values: np.ndarray) -> bytes:
         return np.array([mix(values + np.uint64(1)).sum(dtype=np.uint64), mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)], dtype="<u8").tobytes()
 
 
-SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set", pa.binary()), ("mins", pa.binary())])
+SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set", pa.binary()), ("mins", pa.binary()), ("tokens", pa.binary())])
 
 
 def sketches(docs: DataFrame, k: int, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, n, set, mins) of each row."""
+    """(doc_id, n, set, mins, tokens) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(len(s), digest(s), minwise(s).tobytes() if len(s) else None) for s in sets(batch.column(1), k)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], schema=SKETCH)
+            out = [(len(s), digest(s), *(minwise(s) if len(s) else (None, None))) for s in sets(batch.column(1), k)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i] for x in out], SKETCH.types[i + 1]) for i in range(4))], schema=SKETCH)
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, set binary, mins binary")
+    return rows.mapInArrow(run, "doc_id long, n long, set binary, mins binary, tokens binary")
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -145,7 +147,7 @@ def _compare(least: int, num: int, den: int):
                 pairs += len(ids) * (len(ids) - 1) // 2
 
         for batch in batches:
-            values = [np.frombuffer(x, dtype=np.uint32) for x in batch.column(3).to_pylist()]
+            values = [np.frombuffer(x, dtype=np.uint16) for x in batch.column(3).to_pylist()]
             for key, i, n, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), values, strict=True):
                 if key != node:
                     close()
@@ -164,21 +166,26 @@ def _compare(least: int, num: int, den: int):
 
 
 def token(i: int):
-    return F.substring("mins", 4 * i + 1, 4)
+    return F.substring("tokens", 4 * i + 1, 4)
 
 
 def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int, depth: int) -> DataFrame:
-    """Links (a, b), as stars, between classes (cls, n, mins) that a node of some tree found alike."""
+    """Links (a, b), as stars, between classes (cls, n, mins, tokens) that a node of some tree found alike."""
     share = num / den
-    trees = max(1, math.ceil(math.log(1 - recall) / math.log(1 - share)))
-    least = max(1, math.floor(VALUES * share - 5.7 * math.sqrt(VALUES * share * (1 - share))))
-    if trees + (depth - 1) * 8 > VALUES:
-        raise ValueError("too many trees for the minwise values")
+    # A pair at the threshold stays together in a tree by its first token and, in large nodes, by one of the next ones.
+    stays = share * (1 - (1 - share) ** BRANCHES) ** (depth - 1)
+    trees = max(1, math.ceil(math.log(1 - recall) / math.log(1 - stays)))
+    least = max(1, math.floor(VALUES * share - 5.3 * math.sqrt(VALUES * share * (1 - share))))
+    if trees + (depth - 1) * BRANCHES > TOKENS:
+        raise ValueError("too many trees for the tokens kept")
     keys = F.array(*[F.xxhash64(F.lit(t), token(t)) for t in range(trees)])
     nodes = classes.select("cls", F.explode(keys).alias("node"))
     links = None
     for level in range(depth):
-        counts = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("first")).filter("members > 1").select(F.col("node").alias("key"), "members", "first")
+        x = F.xxhash64("cls"), F.xxhash64("cls", F.lit(1))
+        counts = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("first"), F.bit_xor(x[0]).alias("x"), F.bit_xor(x[1]).alias("y")).filter("members > 1")
+        # Nodes of equal members are one node.
+        counts = counts.groupBy("members", "first", "x", "y").agg(F.min("node").alias("key")).select("key", "members", "first")
         shared = cut(nodes.join(counts, F.col("node") == F.col("key")).select("node", "cls", "members", "first"))
         inner = classes.select(F.col("cls").alias("c"), "n", "mins")
         rows = shared.filter(F.col("members") <= small).join(inner, F.col("cls") == F.col("c")).select("node", "cls", "n", "mins")
@@ -188,12 +195,14 @@ def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int
             # Their members share ``depth`` chosen tokens: all are candidates.
             part = part.unionByName(large.filter("cls != first").select(F.col("cls").alias("a"), F.col("first").alias("b")))
         part = cut(part.distinct())
+        sweep(classes.sparkSession)
         links = part if links is None else links.unionByName(part)
         if level == depth - 1 or large.isEmpty():
             break
-        at = trees + 8 * level
-        more = F.array(*[F.xxhash64(F.col("node"), F.lit(at + b), token(at + b)) for b in range(8)])
-        nodes = large.join(inner, F.col("cls") == F.col("c")).select("cls", F.explode(more).alias("node"))
+        at = trees + BRANCHES * level
+        more = F.array(*[F.xxhash64(F.col("node"), F.lit(at + b), token(at + b)) for b in range(BRANCHES)])
+        named = classes.select(F.col("cls").alias("c"), "tokens")
+        nodes = large.join(named, F.col("cls") == F.col("c")).select("cls", F.explode(more).alias("node"))
     return links
 
 
@@ -277,15 +286,19 @@ def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, k: int, nu
     return dealt.repartition("task").sortWithinPartitions("task", "cls").mapInArrow(_confirm(num, den), "a long, b long")
 
 
-def near_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, recall: float = 1 - 1e-7, small: int = 1024, depth: int = 3, block: int = 128, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, recall: float = 1 - 1e-7, small: int = 1024, depth: int = 3, block: int = 256, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row; sets with den * common >= num * union are linked."""
-    rows = sketches(docs, k, id_column, text_column).withColumn("uid", F.monotonically_increasing_id())
-    rows = cut(rows)
-    named = rows.filter("n > 0 AND doc_id IS NOT NULL")
+    spark = docs.sparkSession
+    sketched = cut(sketches(docs, k, id_column, text_column).withColumn("uid", F.monotonically_increasing_id()))
+    named = sketched.filter("n > 0 AND doc_id IS NOT NULL")
     of = named.groupBy("set").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "uid")).alias("m")).select("set", "rep", F.col("m.uid").alias("cls"))
-    classes = cut(of.join(named.select("uid", "n", "mins"), F.col("cls") == F.col("uid")).select("cls", "rep", "set", "n", "mins"))
+    classes = cut(of.join(named.select("uid", "n", "mins", "tokens"), F.col("cls") == F.col("uid")).select("cls", "rep", "set", "n", "mins", "tokens"))
+    rows = cut(sketched.select("doc_id", "n", "set"))
+    del sketched, named, of
+    sweep(spark)
     groups = components(candidates(classes, num, den, recall, small, depth))
     links = cut(confirmed(docs, classes, groups, k, num, den, block, id_column, text_column))
+    sweep(spark)
     found = components(links)
     reps = classes.select("cls", "rep")
     # The smallest id of a component: over its root's class and the classes that hang on it.

@@ -20,7 +20,6 @@ empty result. Other columns are ignored.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator, Sequence
 from itertools import compress
 
@@ -30,7 +29,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut, scratch, table, written
+from siltstone.llm.common import cut, scratch, sweep, table, written
 from siltstone.llm.fm_index import FMIndex
 from siltstone.llm.words import chunks
 
@@ -211,8 +210,7 @@ def repeated_intervals(base: DataFrame, window: int, shard_passages: int) -> Dat
         total = places.agg(F.coalesce(F.sum(F.size("wanted").cast("long")), F.lit(0))).first()[0]
     # Shuffle files of the step before go as soon as nothing refers to them.
     del anchors, often
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    sweep(spark)
     shards = max(1, -(-total // shard_passages))
     rows = base.join(places, F.col("key") == F.col("of")).select("key", "place", "version", "text", "wanted", *(["carried"] if "carried" in base.columns else []))
     routed = rows.mapInArrow(_passages(window, shards), ROUTED_DDL)
