@@ -89,6 +89,7 @@ def _passages(window: int, shards: int):
                 for i in range(len(w.bounds) - 1):
                     a, b, row = int(w.bounds[i]), int(w.bounds[i + 1]), first + i
                     at, low, high = anchor_runs(grams, a, b, window)
+                    mine: list[list[int]] = []  # intervals of this document, neighbours joined
                     hit = np.isin(at, np.array(wanted[row], dtype=np.int64))
                     for p, s, t in zip(at[hit].tolist(), low[hit].tolist(), high[hit].tolist(), strict=True):
                         words = w.text(i, s, t + window)
@@ -97,11 +98,16 @@ def _passages(window: int, shards: int):
                         if seen is None:
                             held[words] = here
                         elif seen[2:5] <= here[2:5]:
-                            # equal: the same document stated twice
-                            done += [(*here, None)] if seen[2:5] != here[2:5] else []
+                            if seen[2:5] == here[2:5]:
+                                continue  # the same document stated twice
+                            if mine and s <= mine[-1][1]:
+                                mine[-1][1] = t + window
+                            else:
+                                mine.append([s, t + window])
                         else:
                             done.append((*seen, None))
                             held[words] = here
+                    done += [(keys[row] % shards, keys[row], places[row], versions[row], s, t, None) for s, t in mine]
                 if len(held) > REMEMBERED:
                     done += [(*v, k) for k, v in held.items()]
                     held = {}
@@ -200,7 +206,7 @@ def _clean(verbatim: bool):
 
 
 def repeated_intervals(base: DataFrame, window: int, shard_passages: int) -> DataFrame:
-    """(key, version, start, stop) of words to remove, for base (key, place, version, text, doc_id)."""
+    """(key, version, start, stop) of words to remove, for base (key, doc_id, version, text)."""
     spark = base.sparkSession
     with scratch(spark, "anchors") as path:
         anchors = written(base.select("key", "text").mapInArrow(_anchors(window), "h long, key long, pos int"), path)
@@ -212,7 +218,8 @@ def repeated_intervals(base: DataFrame, window: int, shard_passages: int) -> Dat
     del anchors, often
     sweep(spark)
     shards = max(1, -(-total // shard_passages))
-    rows = base.join(places, F.col("key") == F.col("of")).select("key", "place", "version", "text", "wanted", *(["carried"] if "carried" in base.columns else []))
+    place = F.coalesce("doc_id", F.lit(LAST)).alias("place")
+    rows = base.join(places, F.col("key") == F.col("of")).select("key", place, "version", "text", "wanted", *(["carried"] if "carried" in base.columns else []))
     routed = rows.mapInArrow(_passages(window, shards), ROUTED_DDL)
     return routed.repartition("shard").sortWithinPartitions("shard", "place", "version", "start").mapInArrow(_shards(window), "key long, version long, start long, stop long")
 
@@ -226,7 +233,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, shard_passages: int = 60_0
         raise ValueError(f"a window has more than {ANCHOR} words")
     text, doc_id = F.coalesce(docs[text_column], F.lit("")), docs[id_column].cast("long")
     version = F.xxhash64(text)
-    base = docs.select(F.coalesce(doc_id, version).alias("key"), F.coalesce(doc_id, F.lit(LAST)).alias("place"), version.alias("version"), text.alias("text"), doc_id.alias("doc_id"), *([F.struct(*[docs[c] for c in carry]).alias("carried")] if carry else []))
+    # Both joins below take the same columns, so that Spark shuffles the texts once.
+    base = docs.select(F.coalesce(doc_id, version).alias("key"), doc_id.alias("doc_id"), version.alias("version"), text.alias("text"), *([F.struct(*[docs[c] for c in carry]).alias("carried")] if carry else []))
     found = repeated_intervals(base, window, shard_passages)
     spans = found.groupBy("key").agg(F.collect_list(F.struct("version", "start", "stop")).alias("spans")).withColumnRenamed("key", "of")
     rows = base.join(spans, F.col("key") == F.col("of"), "left").select("doc_id", "version", "text", "spans", *(["carried"] if carry else []))
