@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import cut, sweep, table
-from siltstone.llm.components import components
+from siltstone.llm.components import components, forest
 from siltstone.llm.words import chunks, mix
 
 #: Minwise values for comparison (16 bits each), of which the first TOKENS are kept with 32 bits to name nodes.
@@ -87,27 +87,6 @@ def sketches(docs: DataFrame, k: int, id_column: str, text_column: str) -> DataF
     return rows.mapInArrow(run, "doc_id long, n long, set binary, mins binary, tokens binary")
 
 
-def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Labels 0 .. n - 1: the least node of each node's component."""
-    label = np.arange(n)
-    while len(a):
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, label[a], low)
-        np.minimum.at(new, label[b], low)
-        new = new[new]
-        while (new[new] != new).any():
-            new = new[new]
-        if (new == label).all():
-            break
-        label = new
-        open_ = label[a] != label[b]
-        a, b = a[open_], b[open_]
-    while (label[label] != label).any():
-        label = label[label]
-    return label
-
-
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -194,7 +173,7 @@ def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int
         if level == depth - 1:
             # Their members share ``depth`` chosen tokens: all are candidates.
             part = part.unionByName(large.filter("cls != first").select(F.col("cls").alias("a"), F.col("first").alias("b")))
-        part = cut(part.distinct())
+        part = cut(part)
         sweep(classes.sparkSession)
         links = part if links is None else links.unionByName(part)
         if level == depth - 1 or large.isEmpty():

@@ -80,3 +80,25 @@ def test_hard_rows(spark, options):
 
 def test_nothing(spark):
     assert near_dedup.near_groups(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("at_once", [0, 10**6])
+def test_components(spark, at_once):
+    from siltstone.llm.components import components
+
+    rng = random.Random(3)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7)]
+    root = list(range(1100))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    expected = {(x, find(x)) for link in links for x in link if find(x) != x}
+    frame = spark.createDataFrame(links, "a long, b long")
+    assert {tuple(r) for r in components(frame, at_once).collect()} == expected
+    assert components(frame.limit(0), at_once).count() == 0
