@@ -18,6 +18,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_license_scan": license_scan.SQL,
+    "op2_substring_dedup": substring_dedup.SQL,
     "op3_metric_search": metric_search.SQL,
     "op6_chat_formatting": chat.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
