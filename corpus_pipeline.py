@@ -6,7 +6,8 @@ Each stage takes the documents that the one before has left, whole, and its deci
 2. exact dedup: one document of each group of texts that are equal but for the case of A-Z stays, the smallest id;
 3. near-dedup: one document of each group of near copies stays (shingles of five words, similarity 0.8), the smallest id;
 4. substring dedup: words in windows of 20 that start earlier elsewhere are cut out; no row goes, texts without a repeat
-   stay as they are, in others the words that stay are joined by one space and ``n_chars`` is counted anew;
+   stay as they are (a null text becomes an empty one), in others the words that stay are joined by one space and
+   ``n_chars`` is counted anew;
 5. packing: what is left is tokenised and packed into sequences of at most 2048 ids.
 
 All but the last return the columns of ``documents``. Rows without an id are never dropped as near copies.

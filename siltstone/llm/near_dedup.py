@@ -188,7 +188,7 @@ def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int
 def _confirm(num: int, den: int):
     """Exact links inside tasks (key, side, cls, set); rows come sorted by key."""
 
-    def found(sides: np.ndarray, ids: np.ndarray, members: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    def found(ids: np.ndarray, members: list[np.ndarray]) -> tuple[list[int], list[int]]:
         sizes = np.array([len(m) for m in members])
         values, where = np.unique(np.concatenate(members), return_inverse=True)
         owner = np.repeat(np.arange(len(members)), sizes)
@@ -213,7 +213,7 @@ def _confirm(num: int, den: int):
 
         def close():
             if len(ids) > 1:
-                a, b = found(None, np.array(ids), members)
+                a, b = found(np.array(ids), members)
                 if a:
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=LINKS)
 
