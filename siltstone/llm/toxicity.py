@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -67,7 +68,7 @@ class Machine:
         return self.bias + float(self.linear[rows].sum()) + 0.5 * float((total * total - (v * v).sum(axis=0)).sum())
 
 
-def fit(documents: list[list[int]], labels: list[int], share: float, rank: int = 4, kept: int = 20_000, epochs: int = 12, rate: float = 0.1, decay: float = 1e-4) -> Machine:
+def fit(documents: Sequence[Sequence[int] | np.ndarray], labels: list[int], share: float, rank: int = 4, kept: int = 20_000, epochs: int = 12, rate: float = 0.1, decay: float = 1e-4) -> Machine:
     """Fit on slots and labels; ``share`` is the share of label 1 among all labels, which sets the bias."""
     y = np.array(labels, dtype=float)
     if not len(y) or y.min() == y.max():
@@ -109,7 +110,7 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(5)) == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 6000, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Machine:
+def train(docs: DataFrame, labels: DataFrame, sample: int = 4000, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Machine:
     """Fit on labelled rows that are not held out: at most ``sample`` of either label."""
     usable = labels.select(labels[id_column].cast("long").alias("label_id"), labels[label_column].cast("int").alias("y")).filter("label_id IS NOT NULL AND y IS NOT NULL")
     usable = usable.filter(~held_out(F.col("label_id"))).groupBy("label_id").agg(F.max("y").alias("y"))
@@ -118,15 +119,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 6000, id_column: str
     parts = [usable.filter(F.col("y") == y).orderBy(F.xxhash64("label_id"), "label_id").limit(sample) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def slots(texts: pd.Series) -> pd.Series:
-        return texts.map(document_slots)
+        return pd.Series([np.array(document_slots(t), dtype="<i4").tobytes() for t in texts], dtype=object)
 
     # At most 2 * sample ids.
     texts = docs.select(docs[id_column].cast("long").alias("label_id"), docs[text_column].alias("label_text")).join(F.broadcast(chosen), "label_id")
     rows = texts.select("label_id", "y", slots("label_text").alias("slots")).dropDuplicates(["label_id"]).collect()
     rows.sort(key=lambda r: r["label_id"])
-    return fit([r["slots"] for r in rows], [r["y"] for r in rows], share)
+    return fit([np.frombuffer(r["slots"], dtype="<i4") for r in rows], [r["y"] for r in rows], share)
 
 
 class Scorer:
