@@ -29,8 +29,8 @@ from siltstone.llm.common import cut, dense_rank_in, table
 
 WINDOW = 2048
 END_ID = 1
-CACHE = 600_000
-TEXTS_AT_ONCE = 500
+CACHE = 300_000
+TEXTS_AT_ONCE = 200
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:

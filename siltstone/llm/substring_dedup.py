@@ -35,7 +35,7 @@ from siltstone.llm.words import chunks
 
 ANCHOR = 6
 #: A task remembers so many passages to send each on once; more only means that some are sent again.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 LAST = 2**63 - 1
 
 

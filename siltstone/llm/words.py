@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are taken together up to so many bytes; a longer text is taken alone and whole.
-BYTES_AT_ONCE = 2_000_000
+BYTES_AT_ONCE = 500_000
 
 _rng = np.random.default_rng(20)
 _LETTER = _rng.integers(0, 2**64, 256, dtype=np.uint64)
