@@ -3,8 +3,8 @@ r"""Near-duplicate groups by a chosen-path similarity join over word shingles.
 1. Each text becomes its set of hashed shingles, minwise values of the set, and a digest of the set. Equal sets form a
    class; only classes are joined, so copies cost nothing further.
 2. Independent trees (as many as ``recall`` asks for) put each class into a node by one minwise token. Members of a node
-   of at most ``small`` are compared exhaustively by their minwise values; a larger node chooses more tokens and branches
-   again. Members of a node that is still large after ``depth`` levels share so many chosen tokens that all of them are
+   of at most ``small`` are compared exhaustively by their minwise values; a larger node chooses more tokens, which no
+   other tree and no other level has, and branches again. Members of a node that is still large after ``depth`` levels share so many chosen tokens that all of them are
    candidates of each other. What is found are candidate groups, as stars.
 3. Candidate groups are confirmed on full sets: every two members of a group are compared by exact intersection sizes;
    groups of more than ``block`` members are compared block by block, so that no task holds more than two blocks. Each
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import cut, sweep, table
@@ -33,7 +33,7 @@ from siltstone.llm.components import components, forest
 from siltstone.llm.words import chunks, mix
 
 #: Minwise values for comparison (16 bits each), of which the first TOKENS are kept with 32 bits to name nodes.
-VALUES, TOKENS = 128, 24
+VALUES, TOKENS = 128, 72
 BRANCHES = 2
 SLOTS = 1 << 18
 
@@ -144,8 +144,8 @@ def _compare(least: int, num: int, den: int):
     return run
 
 
-def token(i: int):
-    return F.substring("tokens", 4 * i + 1, 4)
+def token(i: Column):
+    return F.substring("tokens", i * 4 + 1, 4)
 
 
 def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int, depth: int) -> DataFrame:
@@ -155,17 +155,18 @@ def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int
     stays = share * (1 - (1 - share) ** BRANCHES) ** (depth - 1)
     trees = max(1, math.ceil(math.log(1 - recall) / math.log(1 - stays)))
     least = max(1, math.floor(VALUES * share - 5.3 * math.sqrt(VALUES * share * (1 - share))))
-    if trees + (depth - 1) * BRANCHES > TOKENS:
+    if trees * (1 + (depth - 1) * BRANCHES) > TOKENS:
         raise ValueError("too many trees for the tokens kept")
-    keys = F.array(*[F.xxhash64(F.lit(t), token(t)) for t in range(trees)])
-    nodes = classes.select("cls", F.explode(keys).alias("node"))
+    keys = F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), token(F.lit(t))).alias("node")) for t in range(trees)])
+    nodes = classes.select("cls", F.explode(keys).alias("at")).select("cls", "at.tree", "at.node")
     links = None
     for level in range(depth):
         x = F.xxhash64("cls"), F.xxhash64("cls", F.lit(1))
         counts = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("first"), F.bit_xor(x[0]).alias("x"), F.bit_xor(x[1]).alias("y")).filter("members > 1")
-        # Nodes of equal members are one node.
-        counts = counts.groupBy("members", "first", "x", "y").agg(F.min("node").alias("key")).select("key", "members", "first")
-        shared = cut(nodes.join(counts, F.col("node") == F.col("key")).select("node", "cls", "members", "first"))
+        # Nodes of equal members are one node, but for those that branch: each has the tokens of its own tree.
+        own = F.when((F.col("members") > small) & F.lit(level < depth - 1), F.col("node"))
+        counts = counts.groupBy("members", "first", "x", "y", own.alias("own")).agg(F.min("node").alias("key")).select("key", "members", "first")
+        shared = cut(nodes.join(counts, F.col("node") == F.col("key")).select("node", "tree", "cls", "members", "first"))
         inner = classes.select(F.col("cls").alias("c"), "n", "mins")
         rows = shared.filter(F.col("members") <= small).join(inner, F.col("cls") == F.col("c")).select("node", "cls", "n", "mins")
         part = rows.repartition("node").sortWithinPartitions("node", "cls").mapInArrow(_compare(least, num, den), "a long, b long")
@@ -178,10 +179,10 @@ def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int
         links = part if links is None else links.unionByName(part)
         if level == depth - 1 or large.isEmpty():
             break
-        at = trees + BRANCHES * level
-        more = F.array(*[F.xxhash64(F.col("node"), F.lit(at + b), token(at + b)) for b in range(BRANCHES)])
+        at = [F.lit(trees + BRANCHES * level + b) + F.col("tree") * (BRANCHES * (depth - 1)) for b in range(BRANCHES)]
+        more = F.array(*[F.xxhash64(F.col("node"), i, token(i)) for i in at])
         named = classes.select(F.col("cls").alias("c"), "tokens")
-        nodes = large.join(named, F.col("cls") == F.col("c")).select("cls", F.explode(more).alias("node"))
+        nodes = large.join(named, F.col("cls") == F.col("c")).select("cls", "tree", F.explode(more).alias("node"))
     return links
 
 

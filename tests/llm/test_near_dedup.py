@@ -78,6 +78,19 @@ def test_hard_rows(spark, options):
     assert found == by_hand(texts, 3, 85, 100)
 
 
+def test_one_template(spark):
+    """Pairs at the threshold among documents of one template: every tree branches with tokens of its own."""
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    template, texts = words(404), []
+    for n in range(800):
+        shared = words(24)
+        texts += [(2 * n + i, " ".join(template + shared + words(52))) for i in (0, 1)]
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(frame(spark, texts), k=5, num=80, small=64).collect()}
+    assert [n for n in range(800) if found[2 * n] != found[2 * n + 1]] == []
+    assert len(set(found.values())) == 800
+
+
 def test_nothing(spark):
     assert near_dedup.near_groups(frame(spark, [])).count() == 0
 
