@@ -1,11 +1,11 @@
 """Sharding by balanced label propagation.
 
-Nodes start in shards by hash. In each round a linked node asks to move to the shard in which most of its neighbours are,
-if that shard has room; the neighbours looked at are those with smaller numbers in one round and those with larger ones
-in the next, so that two ends of a link never swap. The driver sees requests and loads as counts by pair of shards. Where
-a shard gets more requests than it has room, requests are let in by a hash in proportion. At the end nodes without links
-fill the shards up, so that the law ``rows`` holds exactly: counts are at most one apart. A group that is larger than a
-shard is thereby split, and only such groups need to be.
+Nodes start in shards by hash. In each round a linked node asks to move to the shard in which most of its neighbours are.
+Each link is looked at from one of its ends, which a hash of the hub and the round chooses, so that two ends of a link
+never swap. The driver sees requests and loads as counts by pair of shards, and lets in as many as there is room for and,
+into full shards, as many as leave them in the same round (along cycles of shards). At the end nodes without links fill
+the shards up and what is over moves, so that the law ``rows`` holds exactly: counts are at most one apart. Groups larger
+than a shard are split, and those that found neither room nor an exchange in the rounds.
 
 Defined cases: a null text has no bytes and a size of 1, like an empty one. Rows that repeat an id, or have none, are
 nodes of their own. An empty table gives an empty result. Other columns are ignored.
@@ -25,11 +25,51 @@ def star_links(nodes: DataFrame, group: str) -> DataFrame:
     return nodes.join(hubs, nodes[group] == hubs["_g"]).filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
 
 
-def _votes(links: DataFrame, labels: DataFrame, down: bool) -> DataFrame:
-    """(node, shard, votes): labels of the smaller (down) or larger neighbours."""
-    mine, other = ("a", "b") if down else ("b", "a")
-    seen = links.join(labels.select(F.col("node").alias("_n"), "shard"), F.col(other) == F.col("_n"))
-    return seen.groupBy(F.col(mine).alias("voter"), F.col("shard").alias("to")).agg(F.count(F.lit(1)).alias("votes"))
+def _votes(links: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(voter, to, votes): labels of the neighbours that are looked at in a round."""
+    down = F.pmod(F.xxhash64("b", F.lit(turn)), F.lit(2)) == 0
+    ends = links.select(F.when(down, F.col("a")).otherwise(F.col("b")).alias("voter"), F.when(down, F.col("b")).otherwise(F.col("a")).alias("other"))
+    seen = ends.join(labels.select(F.col("node").alias("_n"), "shard"), F.col("other") == F.col("_n"))
+    return seen.groupBy("voter", F.col("shard").alias("to")).agg(F.count(F.lit(1)).alias("votes"))
+
+
+def admitted(wanted: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
+    """How many of the moves wanted from shard to shard take place: into room, and in cycles that keep all loads."""
+    outside = len(room)
+    left = dict(wanted) | {(s, outside): n for s, n in enumerate(room)}
+
+    def way(start: int, end: int) -> list[tuple[int, int]] | None:
+        came, queue = {start: start}, [start]
+        for u in queue:
+            for v in range(outside + 1):
+                if v not in came and left.get((u, v), 0) > 0:
+                    came[v] = u
+                    queue.append(v)
+        if end not in came:
+            return None
+        steps, at = [], end
+        while at != start:
+            steps.append((came[at], at))
+            at = came[at]
+        return steps
+
+    def push(steps: list[tuple[int, int]]) -> None:
+        n = min(left[x] for x in steps)
+        for x in steps:
+            left[x] -= n
+
+    for s in sorted(range(outside), key=lambda s: room[s]):
+        # A shard with room of its own has no need to give it up.
+        while room[s] <= 0 and (steps := way(s, outside)):
+            push(steps)
+    for u, v in sorted(wanted):
+        while left[u, v] > 0 and (steps := way(v, u)):
+            push([(u, v), *steps])
+    for u, v in sorted(wanted):
+        n = min(left[u, v], left[v, outside])
+        left[u, v] -= n
+        left[v, outside] -= n
+    return {x: n - left[x] for x, n in wanted.items() if n > left[x]}
 
 
 def propagate(links: DataFrame, rows: int, shards: int = 8, rounds: int = 8) -> DataFrame:
@@ -41,19 +81,20 @@ def propagate(links: DataFrame, rows: int, shards: int = 8, rounds: int = 8) ->
     for turn in range(rounds):
         loads = {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
         room = [max(0, share - loads.get(s, 0)) for s in range(shards)]
-        open_ = F.array(*[F.lit(r > 0) for r in room])
-        votes = _votes(links, labels, turn % 2 == 0).join(labels, F.col("voter") == F.col("node"))
-        best = votes.filter((F.col("to") == F.col("shard")) | open_[F.col("to")]).groupBy("voter").agg(F.max(F.struct("votes", F.col("to") == F.col("shard"), -F.col("to"), "shard")).alias("m"))
+        votes = _votes(links, labels, turn).join(labels, F.col("voter") == F.col("node"))
+        best = votes.groupBy("voter").agg(F.max(F.struct("votes", F.col("to") == F.col("shard"), -F.col("to"), "shard")).alias("m"))
         asks = best.select("voter", (-F.col("m")["col3"]).alias("to"), F.col("m")["shard"].alias("from")).filter(F.col("to") != F.col("from"))
         asks = cut(asks)
-        wanted = {r["to"]: r["n"] for r in asks.groupBy("to").agg(F.count(F.lit(1)).alias("n")).collect()}
+        wanted = {(r["from"], r["to"]): r["n"] for r in asks.groupBy("from", "to").agg(F.count(F.lit(1)).alias("n")).collect()}
         still = 0 if wanted else still + 1
         if still == 2:
             break
-        if not wanted:
+        moves = admitted(wanted, room)
+        if not moves:
             continue
-        part = F.array(*[F.lit(min(1.0, room[s] / wanted[s]) if s in wanted else 0.0) for s in range(shards)])
-        let_in = asks.filter(F.pmod(F.xxhash64("voter", F.lit(turn)), F.lit(1 << 20)) < part[F.col("to")] * (1 << 20)).select(F.col("voter").alias("node"), "to")
+        quota = F.array(*[F.lit(moves.get((x, y), 0)) for x in range(shards) for y in range(shards)])
+        ranked = dense_rank_in(asks, ["from", "to"], F.col("voter"), rows, "rank")
+        let_in = ranked.filter(F.col("rank") < quota[F.col("from") * shards + F.col("to")]).select(F.col("voter").alias("node"), "to")
         labels = cut(labels.join(let_in, "node", "left").select("node", F.coalesce("to", "shard").alias("shard")))
     return labels
 

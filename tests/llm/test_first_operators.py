@@ -217,6 +217,16 @@ def test_sharding_hot_group(spark, tmp_path):
     assert split <= 8
 
 
+def test_sharding_all_rows_have_copies(spark, tmp_path):
+    texts = [(i, f"pair {i // 2}") for i in range(4000)]
+    odd_docs(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = sharding.op7_sharding(spark, str(tmp_path)).collect()
+    check_sharding(texts, rows)
+    split, groups = cut_groups(rows)
+    print(split, groups)
+    assert groups == 2000 and split <= 0.1 * groups
+
+
 def test_sharding_of_nothing(spark, tmp_path):
     odd_docs(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
     assert sharding.op7_sharding(spark, str(tmp_path)).count() == 0
