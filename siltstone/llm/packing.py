@@ -1,21 +1,24 @@
 """Packing token sequences into windows by non-negative least squares over length combinations.
 
 Documents are tokenised, closed by an end id, and cut into whole windows and a rest; a rest of more than half a window
-gives half a window first, since long rests leave gaps that are hard to fill. Whole windows are sequences as they are. For the rests, the driver has only their histogram by length (at most ``window`` rows, whatever the corpus is): it
-lists shallow combinations of lengths that fill a window, solves for how often to repeat each so that the histogram is
+gives half a window first, since long rests leave gaps that are hard to fill. Whole windows are sequences as they are.
+For the rests, the driver has only their histogram by length (at most ``window`` rows, whatever the corpus is): it lists shallow combinations of lengths that fill a window, solves for how often to repeat each so that the histogram is
 matched in the least-squares sense without negative counts, rounds down, and packs what is left greedily, largest first.
 The plan says which ranks of which length go where; pieces are ranked within their length by bucketed counts.
 
-The ids are those of the ``tokenizers`` file ``byte_bpe_50k.json``. A chunk between single spaces is encoded once in each
-worker and remembered; new chunks go through the same vocabulary's rank file, whose ids are the same (tested).
+The ids are those of the ``tokenizers`` file ``byte_bpe_50k.json``: its added token is one id wherever its string stands
+in a text. A chunk between single spaces is encoded once in each worker and remembered; new chunks go through the same
+vocabulary's rank file, whose ids are the same (tested).
 
-Defined cases: a null text is empty and gives the end id alone. Rows that repeat an id, or have none, are packed as
-documents of their own. An empty table gives an empty result. Other columns are ignored.
+Defined cases: a null text is empty and gives the end id alone. A text of any length is encoded whole and cut into as many
+pieces as it takes. Rows that repeat an id, or have none, are packed as documents of their own; pieces that are equal in
+all columns (ties) get places of their own. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -29,7 +32,7 @@ from siltstone.llm.common import cut, dense_rank_in, table
 
 WINDOW = 2048
 END_ID = 1
-CACHE = 300_000
+CACHE = 200_000
 TEXTS_AT_ONCE = 200
 
 
@@ -51,10 +54,16 @@ class Encoder:
     #: Two white-space characters in a row, or any but the space and the line feed.
     ODD = ("  ", " \n", "\n ", "\n\n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"))
 
-    def __init__(self, ranks_path: str | None = None):
+    def __init__(self, ranks_path: str | None = None, json_path: str | None = None):
         import public_tokenizers
         import tiktoken
 
+        with open(json_path or tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
+            raise ValueError("only added tokens that stand for their string alone are supported")
+        self.added = {t["content"]: np.array([t["id"]], dtype="<u2").tobytes() for t in added}
+        self.split = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or "(?!)")
         with open(ranks_path or tokenizer_path(), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -80,6 +89,18 @@ class Encoder:
             low = high
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; what stands between added tokens is encoded as a text of its own."""
+        if not any(token in t for token in self.added for t in texts):
+            return self.ordinary(texts)
+        parts = [self.split.split(t) for t in texts]
+        found = iter(self.ordinary([p for ps in parts for p in ps]))
+        out = []
+        for text, ps in zip(texts, parts, strict=True):
+            between = [self.added[token] for token in self.split.findall(text)]
+            out.append(b"".join(x for pair in zip((next(found) for _ in ps), [*between, b""], strict=True) for x in pair))
+        return out
+
+    def ordinary(self, texts: list[str]) -> list[bytes]:
         if len(self.seen) >= CACHE:
             self.seen.clear()
         cut_up = [self.JOINT.split(t) if self.odd(t) else t.split(" ") for t in texts]

@@ -57,7 +57,6 @@ def check_packing(texts, rows, window=2048):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.tokenizer_path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     expected = Counter()
     for i, t in texts:
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
@@ -101,6 +100,19 @@ def test_packing_odd_rows(spark):
     assert packing.pack(odd_docs(spark, [])).count() == 0
 
 
+def test_ids_of_odd_texts():
+    import random
+
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder, rng = Tokenizer.from_file(packing.tokenizer_path("byte_bpe_50k.json")), packing.Encoder(), random.Random(6)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "\t", "a", "word", "it's", "2", "é", "日本", "\u3000", ".", "ﬁ", "\u0301", "🙂"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 14))) for _ in range(4000)]
+    for low in range(0, len(texts), 100):
+        for t, found in zip(texts[low : low + 100], encoder.encode(texts[low : low + 100]), strict=True):
+            assert [int.from_bytes(found[i : i + 2], "little") for i in range(0, len(found), 2)] == tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def test_plan_uses_each_piece_once():
     import random
 
