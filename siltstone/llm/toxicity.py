@@ -7,12 +7,16 @@ A term is a lower-cased word without outer punctuation, or one of its prefixes o
 
 over the document's slots, so that pairs of slots have a weight of their own. It is fitted on the driver with AdaGrad on
 at most ``sample`` labelled documents for each label, taken by the smallest hash of their ids; that is the documented
-bound, of which only hashed slots are collected. Class shares come from all labels that may be learnt from. Slots whose
-presence says nothing about the label in the sample get no weight.
-
-Defined cases: a null or empty text scores as a document without terms. Labels that are null are ignored, labels that
-contradict each other count as toxic. With one class or no labels every score is the smoothed share of toxic labels.
-Rows that repeat an id are scored one by one. Other columns are ignored, whatever their names are.
+bound. Class shares come from all labels that may be learnt from. Slots get a weight if their presence tells the labels
+apart in the sample: likelihood-ratio statistic (as its root) of at least ``least``, which seven documents of one label
+and none of the other reach, and three documents at least. They are counted and chosen in Spark; the driver gets at most
+``kept`` of them, and of the sample only these, at most ``entries`` in all: the most telling come first.
+
+Defined cases: a null or empty text scores as a document without terms, a text of any length by all its terms. Labels that
+are null are ignored, labels that contradict each other count as toxic, and of texts that share a labelled id the one
+whose slots are the least in order is learnt from. With one class, no labels or no documents (an empty table) every score
+is the smoothed share of toxic labels. Rows that repeat an id are scored one by one. Ties among slots go to the smaller
+slot. Other columns are ignored, whatever their names are.
 """
 
 from __future__ import annotations
@@ -27,12 +31,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import table
+from siltstone.llm.common import cut, table
 
 SLOTS = 1 << 18
 PREFIXES = (4, 5, 6)
 OUTER = ".,;:!?\"'()[]{}|*#%&-_/\\<>«»„“”’…"
-CACHE = 300_000
+CACHE = 200_000
 
 
 def slots_of(word: str) -> list[int]:
@@ -68,23 +72,13 @@ class Machine:
         return self.bias + float(self.linear[rows].sum()) + 0.5 * float((total * total - (v * v).sum(axis=0)).sum())
 
 
-def fit(documents: Sequence[Sequence[int] | np.ndarray], labels: list[int], share: float, rank: int = 4, kept: int = 20_000, epochs: int = 12, rate: float = 0.1, decay: float = 1e-4) -> Machine:
+def fit(documents: Sequence[Sequence[int] | np.ndarray], labels: list[int], share: float, rank: int = 4, epochs: int = 12, rate: float = 0.1, decay: float = 1e-4) -> Machine:
     """Fit on slots and labels; ``share`` is the share of label 1 among all labels, which sets the bias."""
     y = np.array(labels, dtype=float)
     if not len(y) or y.min() == y.max():
         return Machine(bias=math.log(share / (1 - share)))
-    counts = np.zeros((2, SLOTS))
-    for slots, label in zip(documents, labels, strict=True):
-        counts[label, slots] += 1
-    n = np.array([[(y == 0).sum()], [(y == 1).sum()]])
-    p = (counts + 0.5) / (n + 1)
-    # Size of the log odds over its standard error.
-    z = np.abs(np.log(p[1] / (1 - p[1])) - np.log(p[0] / (1 - p[0]))) / np.sqrt((1 / (counts + 0.5) + 1 / (n - counts + 0.5)).sum(axis=0))
-    chosen = np.flatnonzero((z >= 3) & (counts.sum(axis=0) >= 3))
-    chosen = np.sort(chosen[np.argsort(-z[chosen], kind="stable")[:kept]])
-    where = np.full(SLOTS, -1)
-    where[chosen] = np.arange(len(chosen))
-    rows = [r[r >= 0] for r in (where[np.array(s, dtype=int)] for s in documents)]
+    chosen = np.unique(np.concatenate([np.array(s, dtype=int) for s in documents]))
+    rows = [np.searchsorted(chosen, np.array(s, dtype=int)) for s in documents]
     rng = np.random.default_rng(7)
     m = Machine(0.0, {int(s): i for i, s in enumerate(chosen)}, np.zeros(len(chosen)), rng.normal(0, 0.02, (len(chosen), rank)))
     g_bias, g_linear, g_factors = 1e-6, np.full(len(chosen), 1e-6), np.full((len(chosen), rank), 1e-6)
@@ -110,7 +104,21 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(5)) == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 4000, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Machine:
+def _telling(found: DataFrame, least: float, kept: int) -> DataFrame:
+    """(slot, n, g): slots of the sample (label_id, y, slots) that tell labels apart, the ``kept`` best by ``g``."""
+    sizes = found.agg(F.coalesce(F.sum("y"), F.lit(0)), F.count(F.lit(1))).first()
+    ones, all_ = float(sizes[0]), float(sizes[1])
+    counts = found.select("y", F.explode("slots").alias("slot")).groupBy("slot").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("n1")).filter("n >= 3")
+    n, n1 = F.col("n").cast("double"), F.col("n1").cast("double")
+    part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(F.lit(0.0))
+    g = F.lit(0.0)
+    for here, size in ((n1, ones), (n - n1, all_ - ones)):
+        g = g + part(here, n * size / all_) + part(F.lit(size) - here, (F.lit(all_) - n) * size / all_)
+    root = F.sqrt(F.greatest(2 * g, F.lit(0.0)))
+    return counts.select("slot", "n", root.alias("g")).filter(F.col("g") >= least).orderBy(F.col("g").desc(), "slot").limit(kept)
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = 4000, least: float = 3.0, kept: int = 20_000, entries: int = 6_000_000, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Machine:
     """Fit on labelled rows that are not held out: at most ``sample`` of either label."""
     usable = labels.select(labels[id_column].cast("long").alias("label_id"), labels[label_column].cast("int").alias("y")).filter("label_id IS NOT NULL AND y IS NOT NULL")
     usable = usable.filter(~held_out(F.col("label_id"))).groupBy("label_id").agg(F.max("y").alias("y"))
@@ -119,13 +127,30 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 4000, id_column: str
     parts = [usable.filter(F.col("y") == y).orderBy(F.xxhash64("label_id"), "label_id").limit(sample) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
 
-    @F.pandas_udf("binary")
+    @F.pandas_udf("array<int>")
     def slots(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.array(document_slots(t), dtype="<i4").tobytes() for t in texts], dtype=object)
+        return pd.Series([document_slots(t) for t in texts], dtype=object)
 
     # At most 2 * sample ids.
     texts = docs.select(docs[id_column].cast("long").alias("label_id"), docs[text_column].alias("label_text")).join(F.broadcast(chosen), "label_id")
-    rows = texts.select("label_id", "y", slots("label_text").alias("slots")).dropDuplicates(["label_id"]).collect()
+    found = cut(texts.select("label_id", "y", slots("label_text").alias("slots")).groupBy("label_id").agg(F.max("y").alias("y"), F.min("slots").alias("slots")))
+    both = {r["y"] for r in found.select("y").distinct().collect()}
+    if len(both) < 2:
+        return fit([[]] * len(both), [*both], share)
+    best, total = [], 0
+    for r in _telling(found, least, kept).collect():
+        total += r["n"]
+        if total > entries:
+            break
+        best.append(r["slot"])
+    known = np.zeros(SLOTS, dtype=bool)
+    known[best] = True
+
+    @F.pandas_udf("binary")
+    def packed(rows: pd.Series) -> pd.Series:
+        return pd.Series([np.asarray(r, dtype="<i4")[known[np.asarray(r, dtype=int)]].tobytes() for r in rows], dtype=object)
+
+    rows = found.select("label_id", "y", packed("slots").alias("slots")).collect()
     rows.sort(key=lambda r: r["label_id"])
     return fit([np.frombuffer(r["slots"], dtype="<i4") for r in rows], [r["y"] for r in rows], share)
 

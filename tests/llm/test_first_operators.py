@@ -149,6 +149,27 @@ def test_toxicity_odd_rows(spark):
     assert docs.limit(0).select(toxicity.score_column(machine, F.col("text")).alias("s")).count() == 0
 
 
+def test_rare_terms_count(spark):
+    """A term of one in a hundred toxic documents and of no clean one, none of which is in the sample's other half."""
+    import random
+
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(3000)}"
+    texts = [(i, " ".join([word() for _ in range(30)] + (["grobnak"] if i % 200 == 1 else ["common"] if i % 2 else []))) for i in range(4000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, toxic int")
+    machine = toxicity.train(odd_docs(spark, texts), labels)
+    plain = " ".join(word() for _ in range(30))
+    scorer = toxicity.Scorer(machine)
+    assert scorer.score(plain + " grobnak") > 0.9 > 0.5 > scorer.score(plain)
+
+
+def test_longest_texts_are_learnt_from_within_bounds(spark):
+    texts = [(i, " ".join(f"t{i % 2}x{j}" for j in range(3000))) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    machine = toxicity.train(odd_docs(spark, texts), labels, entries=2000)
+    assert 0 < len(machine.index) <= 200 and toxicity.Scorer(machine).score(texts[1][1]) > 0.5 > toxicity.Scorer(machine).score(texts[0][1])
+
+
 def test_machine_learns_an_interaction():
     """Two slots that mean something only together."""
     both, docs, labels = [0, 1], [], []
