@@ -88,6 +88,33 @@ def dense_rank_in(df: DataFrame, keys: list[str], order: Column, rows: int, name
     return joined.drop("_mix", "_bucket", "_in", "_from", "_b", *(f"_k{i}" for i in range(len(keys))))
 
 
+#: A filter in front of a join has at most so many bits, in words of 64 bits: that bounds its broadcast.
+FILTER_BITS = 1 << 26
+
+
+def filter_bits(keys: int) -> int:
+    """Bits of a filter for so many keys: 16 for each, within bounds."""
+    return min(FILTER_BITS, 1 << max(12, (16 * keys).bit_length()))
+
+
+def filter_words(keys: DataFrame, column: str, bits: int) -> DataFrame:
+    """A Bloom filter of one hash over a column: (word, mask) of the words of 64 bits that are not empty."""
+    places = keys.selectExpr(f"pmod(xxhash64({column}), {bits}L) AS _p")
+    return places.groupBy(F.expr("shiftright(_p, 6)").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(_p & 63 AS INT))")).alias("_mask"))
+
+
+def marked(rows: DataFrame, column: str, words: DataFrame, bits: int, name: str) -> DataFrame:
+    """``rows`` with a boolean that is false only where the key is in no filter word; the words are broadcast."""
+    found = rows.withColumn("_p", F.expr(f"pmod(xxhash64({column}), {bits}L)")).join(F.broadcast(words), F.expr("shiftright(_p, 6)") == F.col("_word"), "left")
+    return found.withColumn(name, F.expr("(shiftright(coalesce(_mask, 0L), CAST(_p & 63 AS INT)) & 1) = 1")).drop("_p", "_word", "_mask")
+
+
+def sieve(rows: DataFrame, column: str, wanted: DataFrame, wanted_column: str) -> DataFrame:
+    """``rows`` without most of those whose key is not among the wanted ones; none that is wanted is lost."""
+    bits = filter_bits(wanted.count())
+    return marked(rows, column, filter_words(wanted, wanted_column, bits), bits, "_maybe").filter("_maybe").drop("_maybe")
+
+
 def keep_ids(docs: DataFrame, ids: DataFrame, how: str, column: str = "doc_id", broadcast_rows: int = 200_000) -> DataFrame:
     """Semi or anti join on an id; the ids are broadcast only where their counted number is at most ``broadcast_rows``."""
     ids = ids.select(F.col(column).alias("_id"))

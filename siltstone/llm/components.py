@@ -60,17 +60,16 @@ def _star(links: DataFrame, small: bool) -> DataFrame:
     return out.filter("x != m").select(F.col("x").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def components(links: DataFrame, at_once: int = 1_000_000, rounds: int = 50) -> DataFrame:
+def components(links: DataFrame, at_once: int = 1_000_000) -> DataFrame:
     """(node, root) of all nodes of ``links`` (a, b) but roots; the root is the least node that can be reached."""
     links = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b"))
     if links.count() <= at_once:
         return cut(links.coalesce(1).mapInArrow(_solve, "node long, root long"))
     links = cut(links.distinct())
     state = None
-    for _ in range(rounds):
+    while True:  # the stars settle after some log(n) ** 2 rounds at most
         mark = links.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
         if mark == state or mark[0] == 0:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
         state = mark
         links = cut(_star(_star(links, small=False), small=True))
-    raise RuntimeError("links did not settle")

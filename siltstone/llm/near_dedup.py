@@ -28,14 +28,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut, sweep, table
+from siltstone.llm.common import cut, sieve, sweep, table
 from siltstone.llm.components import components, forest
 from siltstone.llm.words import chunks, mix
 
 #: Minwise values for comparison (16 bits each), of which the first TOKENS are kept with 32 bits to name nodes.
 VALUES, TOKENS = 128, 72
 BRANCHES = 2
-SLOTS = 1 << 18
 
 _rng = np.random.default_rng(64)
 _XOR = _rng.integers(0, 2**64, VALUES, dtype=np.uint64)[:, None]
@@ -144,12 +143,137 @@ def _compare(least: int, num: int, den: int):
     return run
 
 
+def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The most typical member of each group (group, blocks, cls, n, mins), whose rows come together: the one that agrees
+    most with the values that most of them have. Which one it is bears on the work only, never on the result."""
+
+    def best(rows: list[tuple]) -> tuple:
+        mins = np.array([np.frombuffer(r[4], dtype=np.uint16) for r in rows])
+        usual = np.zeros(VALUES, dtype=np.uint16)
+        for i in range(VALUES):
+            values, counts = np.unique(mins[:, i], return_counts=True)
+            usual[i] = values[counts.argmax()]
+        return rows[int((mins == usual).sum(axis=1).argmax())]
+
+    held: list[tuple] = []
+    chosen: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and held[0][0] != row[0]:
+                chosen.append(best(held))
+                held = []
+            held.append(row)
+    if held:
+        chosen.append(best(held))
+    if chosen:
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in chosen], t) for i, t in enumerate(PICKED.types)], schema=PICKED)
+
+
+PICKED = pa.schema([("grp", pa.int64()), ("blocks", pa.int32()), ("cls", pa.int64()), ("n", pa.int64()), ("mins", pa.binary())])
+
+
+def pivots(members: DataFrame) -> DataFrame:
+    """A typical member (grp, blocks, cls, n, mins) of each group, looked for in the block that ``first`` is in."""
+    near = members.filter(F.pmod(F.xxhash64("cls"), F.col("blocks")) == F.pmod(F.xxhash64("first"), F.col("blocks")))
+    near = near.select("grp", "blocks", "cls", "n", "mins")
+    return near.repartition("grp").sortWithinPartitions("grp", "cls").mapInArrow(_pick, "grp long, blocks int, cls long, n long, mins binary")
+
+
+ANSWERS = pa.schema([("grp", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+
+
+def _answers(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(ANSWERS.types)], schema=ANSWERS)
+
+
+def _against(least: int, num: int, den: int, rest: bool):
+    """Members (kind 1) of a task against its first rows (kind 0), by minwise values: links (grp, a, b) as a forest; with
+    ``rest``, (grp, a, null) for members that are linked with none."""
+
+    def found(first: list[tuple], members: list[tuple]) -> list[tuple]:
+        ids = np.array([r[3] for r in first + members])
+        sizes = np.array([r[4] for r in members])
+        mins = np.array([np.frombuffer(r[5], dtype=np.uint16) for r in members])
+        ends: list[tuple[np.ndarray, int]] = []
+        for i, r in enumerate(first):
+            alike = (den * np.minimum(sizes, r[4]) >= num * np.maximum(sizes, r[4])) & ((mins == np.frombuffer(r[5], dtype=np.uint16)).sum(axis=1) >= least)
+            ends.append((np.flatnonzero(alike) + len(first), i))
+        b = np.concatenate([e for e, _ in ends])
+        a = np.repeat([i for _, i in ends], [len(e) for e, _ in ends])
+        return _labels(ids, [r[1] for r in first + members], a, b, len(first), rest)
+
+    return _by_task(found)
+
+
+def _labels(ids: np.ndarray, groups: list[int], a: np.ndarray, b: np.ndarray, first: int, rest: bool) -> list[tuple]:
+    label = forest(a, b, len(ids))
+    out = [(groups[i], int(ids[i]), int(ids[label[i]])) for i in np.flatnonzero(ids != ids[label]).tolist()]
+    if rest:
+        linked = np.zeros(len(ids), dtype=bool)
+        linked[b] = True
+        out += [(groups[i], int(ids[i]), None) for i in (np.flatnonzero(~linked[first:]) + first).tolist() if ids[i] not in ids[:first]]
+    return out
+
+
+def _by_task(found):
+    """Rows (task, grp, kind, cls, ...) come sorted by task and kind; ``found`` gets those of kind 0 and the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, rows = None, []
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[0] != task:
+                    if rows:
+                        out += found([r for r in rows if r[2] == 0], [r for r in rows if r[2]])
+                    task, rows = row[0], []
+                rows.append(row)
+            if out:
+                yield _answers(out)
+        if rows:
+            yield _answers(found([r for r in rows if r[2] == 0], [r for r in rows if r[2]]))
+
+    return run
+
+
 def token(i: Column):
     return F.substring("tokens", i * 4 + 1, 4)
 
 
+def _own(blocks: str = "blocks") -> Column:
+    return F.pmod(F.xxhash64("cls"), F.col(blocks)).cast("int")
+
+
+def _all(blocks: str) -> Column:
+    return F.sequence(F.lit(0), F.col(blocks) - 1)
+
+
+def _large_nodes(members: DataFrame, least: int, num: int, den: int, small: int) -> tuple[DataFrame, DataFrame]:
+    """Links of large nodes, and the nodes (``many``) whose pairs are not all compared by them.
+
+    All members are compared with the node's typical one. Those that are like it are linked, so that no two of them need a
+    comparison; the rest, if it is of at most ``small``, is compared with all.
+    """
+    run = lambda rows, rest: rows.repartition("task").sortWithinPartitions("task", "kind", "cls").mapInArrow(_against(least, num, den, rest), "grp long, a long, b long")
+    columns = ("grp", "kind", "cls", "n", "mins")
+    ours = members.select(F.xxhash64("grp", _own()).alias("task"), "grp", F.lit(1).alias("kind"), "cls", "n", "mins")
+    one = pivots(members).withColumn("block", F.explode(_all("blocks"))).withColumn("kind", F.lit(0))
+    marks = cut(run(ours.unionByName(one.select(F.xxhash64("grp", "block").alias("task"), *columns)), True))
+    left = marks.filter("b IS NULL").select(F.col("grp").alias("g"), F.col("a").alias("c"))
+    counts = cut(left.groupBy("g").agg(F.count(F.lit(1)).alias("others")))
+    few, many = counts.filter(F.col("others") <= small).select("g"), counts.filter(F.col("others") > small).select("g")
+    links = marks.filter("b IS NOT NULL").select("a", "b")
+    if not few.isEmpty():
+        inside = members.join(few, F.col("grp") == F.col("g"), "left_semi")
+        rest = inside.join(left, (F.col("grp") == F.col("g")) & (F.col("cls") == F.col("c")), "left_semi")
+        rest = rest.withColumn("block", F.explode(_all("blocks"))).withColumn("kind", F.lit(0)).select(F.xxhash64("grp", "block").alias("task"), *columns)
+        ours = inside.select(F.xxhash64("grp", _own()).alias("task"), "grp", F.lit(1).alias("kind"), "cls", "n", "mins")
+        links = links.unionByName(run(ours.unionByName(rest), False).select("a", "b"))
+    return links, many
+
+
 def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int, depth: int) -> DataFrame:
-    """Links (a, b), as stars, between classes (cls, n, mins, tokens) that a node of some tree found alike."""
+    """Links (a, b), as forests, between classes (cls, n, mins, tokens) that a node of some tree found alike."""
     share = num / den
     # A pair at the threshold stays together in a tree by its first token and, in large nodes, by one of the next ones.
     stays = share * (1 - (1 - share) ** BRANCHES) ** (depth - 1)
@@ -160,79 +284,72 @@ def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int
     keys = F.array(*[F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), token(F.lit(t))).alias("node")) for t in range(trees)])
     nodes = classes.select("cls", F.explode(keys).alias("at")).select("cls", "at.tree", "at.node")
     links = None
+    inner = classes.select(F.col("cls").alias("c"), "n", "mins")
     for level in range(depth):
         x = F.xxhash64("cls"), F.xxhash64("cls", F.lit(1))
         counts = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("first"), F.bit_xor(x[0]).alias("x"), F.bit_xor(x[1]).alias("y")).filter("members > 1")
         # Nodes of equal members are one node, but for those that branch: each has the tokens of its own tree.
-        own = F.when((F.col("members") > small) & F.lit(level < depth - 1), F.col("node"))
-        counts = counts.groupBy("members", "first", "x", "y", own.alias("own")).agg(F.min("node").alias("key")).select("key", "members", "first")
+        own = F.when(F.col("members") > small, F.col("node"))
+        # Written down, so that a node that many classes are in can be split over tasks when it is joined.
+        counts = cut(counts.groupBy("members", "first", "x", "y", own.alias("own")).agg(F.min("node").alias("key")).select("key", "members", "first"))
         shared = cut(nodes.join(counts, F.col("node") == F.col("key")).select("node", "tree", "cls", "members", "first"))
-        inner = classes.select(F.col("cls").alias("c"), "n", "mins")
         rows = shared.filter(F.col("members") <= small).join(inner, F.col("cls") == F.col("c")).select("node", "cls", "n", "mins")
         part = rows.repartition("node").sortWithinPartitions("node", "cls").mapInArrow(_compare(least, num, den), "a long, b long")
         large = shared.filter(F.col("members") > small)
-        if level == depth - 1:
-            # Their members share ``depth`` chosen tokens: all are candidates.
-            part = part.unionByName(large.filter("cls != first").select(F.col("cls").alias("a"), F.col("first").alias("b")))
+        over = None
+        if not large.isEmpty():
+            blocks = F.ceil(F.col("members") / small).cast("int").alias("blocks")
+            more = cut(large.join(inner, F.col("cls") == F.col("c")).select(F.col("node").alias("grp"), "tree", "cls", "first", blocks, "n", "mins"))
+            found, many = _large_nodes(more, least, num, den, small)
+            part = part.unionByName(found)
+            if not many.isEmpty():
+                over = more.join(many, F.col("grp") == F.col("g"), "left_semi")
+                if level == depth - 1:
+                    # Their members share ``depth`` chosen tokens: all are candidates.
+                    part = part.unionByName(over.filter("cls != first").select(F.col("cls").alias("a"), F.col("first").alias("b")))
         part = cut(part)
-        sweep(classes.sparkSession)
         links = part if links is None else links.unionByName(part)
-        if level == depth - 1 or large.isEmpty():
+        if over is None or level == depth - 1:
             break
         at = [F.lit(trees + BRANCHES * level + b) + F.col("tree") * (BRANCHES * (depth - 1)) for b in range(BRANCHES)]
-        more = F.array(*[F.xxhash64(F.col("node"), i, token(i)) for i in at])
+        next_ = F.array(*[F.xxhash64(F.col("grp"), i, token(i)) for i in at])
         named = classes.select(F.col("cls").alias("c"), "tokens")
-        nodes = large.join(named, F.col("cls") == F.col("c")).select("cls", "tree", F.explode(more).alias("node"))
+        nodes = cut(over.select("grp", "tree", "cls").join(named, F.col("cls") == F.col("c")).select("cls", "tree", F.explode(next_).alias("node")))
+        sweep(classes.sparkSession)
     return links
 
 
-def _confirm(num: int, den: int):
-    """Exact links inside tasks (key, side, cls, set); rows come sorted by key."""
+def _confirm(num: int, den: int, rest: bool):
+    """Exact links inside tasks (task, grp, kind, cls, shingles): those of kind 0 with all others, or all with all where
+    there is none of kind 0."""
 
-    def found(ids: np.ndarray, members: list[np.ndarray]) -> tuple[list[int], list[int]]:
-        sizes = np.array([len(m) for m in members])
-        values, where = np.unique(np.concatenate(members), return_inverse=True)
-        owner = np.repeat(np.arange(len(members)), sizes)
+    def found(first: list[tuple], members: list[tuple]) -> list[tuple]:
+        rows = first + members
+        sets_ = [np.frombuffer(r[4], dtype=np.uint64) for r in rows]
+        sizes = np.array([len(m) for m in sets_])
+        values, where = np.unique(np.concatenate(sets_), return_inverse=True)
+        owner = np.repeat(np.arange(len(rows)), sizes)
         order = np.argsort(where, kind="stable")
         where, owner = where[order], owner[order]
-        common = np.zeros((len(members), len(members)), dtype=np.float32)
-        step = max(256, 4_000_000 // len(members))
+        low_rows = slice(0, len(first) or len(rows))
+        common = np.zeros((low_rows.stop, len(rows)), dtype=np.float32)
+        step = max(256, 4_000_000 // len(rows))
         for low in range(0, len(values), step):
             a, b = np.searchsorted(where, [low, low + step])
-            part = np.zeros((len(members), min(step, len(values) - low)), dtype=np.float32)
+            part = np.zeros((len(rows), min(step, len(values) - low)), dtype=np.float32)
             part[owner[a:b], where[a:b] - low] = 1
-            common += part @ part.T
-        i, j = np.triu_indices(len(members), 1)
-        both = common[i, j].astype(np.int64)
-        ok = den * both >= num * (sizes[i] + sizes[j] - both)
-        label = forest(i[ok], j[ok], len(members))
-        moved = np.flatnonzero(label != np.arange(len(members)))
-        return ids[moved].tolist(), ids[label[moved]].tolist()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, ids, members = None, [], []
-
-        def close():
-            if len(ids) > 1:
-                a, b = found(np.array(ids), members)
-                if a:
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=LINKS)
-
-        for batch in batches:
-            for key, i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if key != task:
-                    yield from close()
-                    task, ids, members = key, [], []
-                ids.append(i)
-                members.append(np.frombuffer(raw.as_buffer(), dtype=np.uint64).copy())
-        yield from close()
+            common += part[low_rows] @ part.T
+        union = sizes[low_rows, None] + sizes[None, :] - common
+        i, j = np.nonzero(den * common.astype(np.int64) >= num * union)
+        keep = i != j
+        return _labels(np.array([r[3] for r in rows]), [r[1] for r in rows], i[keep], j[keep], len(first), rest and bool(first))
 
-    return run
+    return _by_task(found)
 
 
 def _full_sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(cls, root, blocks, set) of the rows whose set is the one that is looked for."""
+        """(cls, grp, tasks, shingles) of the rows whose set is the one that is looked for."""
         for batch in batches:
             keep, raw = [], []
             for i, (want, s) in enumerate(zip(batch.column(3).to_pylist(), sets(batch.column(4), k), strict=True)):
@@ -240,30 +357,56 @@ def _full_sets(k: int):
                     keep.append(i)
                     raw.append(s.tobytes())
             rows = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in range(3)] + [pa.array(raw, pa.binary())], names=["cls", "root", "blocks", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in range(3)] + [pa.array(raw, pa.binary())], names=["cls", "grp", "tasks", "shingles"])
 
     return run
 
 
 def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, k: int, num: int, den: int, block: int, id_column: str, text_column: str) -> DataFrame:
-    """Exact links (a, b), as forests, inside candidate groups (node, root)."""
+    """Exact links (a, b), as forests, inside candidate groups (node, root).
+
+    A group of at most ``block`` members is one task, all with all. In a larger one all are compared with a typical member,
+    and the rest that is not linked with it with all, in tasks of two blocks at most.
+    """
+    kind = "array<struct<task:bigint,kind:int>>"
+    texts = docs.select(docs[id_column].cast("long").alias("text_id"), docs[text_column].alias("text"))
+
+    def compared(wanted: DataFrame, rest: bool) -> DataFrame:
+        """``wanted`` (cls, rep, set, grp, tasks): sets are made once for each row and sent to its tasks."""
+        wanted = cut(wanted)
+        rows = sieve(texts, "text_id", wanted, "rep").join(wanted, F.col("text_id") == F.col("rep")).select("cls", "grp", "tasks", "set", "text")
+        full = rows.mapInArrow(_full_sets(k), f"cls long, grp long, tasks {kind}, shingles binary")
+        dealt = full.select("cls", "grp", F.explode("tasks").alias("t"), "shingles").select("t.task", "grp", "t.kind", "cls", "shingles")
+        # One document may have several rows, and a class may come twice: that adds nothing.
+        return cut(dealt.repartition("task").sortWithinPartitions("task", "kind", "cls").mapInArrow(_confirm(num, den, rest), "grp long, a long, b long"))
+
     roots = groups.select("root").distinct().select(F.col("root").alias("node"), "root")
     members = cut(groups.unionByName(roots))
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("size")).select(F.col("root").alias("r"), F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    named = members.join(sizes, F.col("root") == F.col("r")).join(classes.select("cls", "rep", "set"), F.col("node") == F.col("cls")).select("cls", "root", "blocks", "set", "rep")
-    named = cut(named)
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS)).cast("int")
-    slots = named.select(slot(F.col("rep")).alias("slot")).distinct()
-    texts = docs.select(docs[id_column].cast("long").alias("text_id"), docs[text_column].alias("text"))
-    texts = texts.withColumn("slot", slot(F.col("text_id"))).join(F.broadcast(slots), "slot", "left_semi")
-    rows = texts.join(named, F.col("text_id") == F.col("rep")).select("cls", "root", "blocks", "set", "text")
-    full = rows.mapInArrow(_full_sets(k), "cls long, root long, blocks int, shingles binary")
-    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = full.withColumn("own", own).withColumn("other", other)
-    dealt = dealt.select(F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("task"), "cls", "shingles")
-    # One document may have several rows: a class appears once.
-    return dealt.repartition("task").sortWithinPartitions("task", "cls").mapInArrow(_confirm(num, den), "a long, b long")
+    sizes = cut(members.groupBy("root").agg(F.count(F.lit(1)).alias("size")).select(F.col("root").alias("r"), F.ceil(F.col("size") / block).cast("int").alias("blocks")))
+    mins = F.when(F.col("blocks") > 1, F.col("mins")).alias("mins")
+    named = members.join(sizes, F.col("root") == F.col("r")).join(classes, F.col("node") == F.col("cls"))
+    named = cut(named.select("cls", F.col("root").alias("grp"), "blocks", "rep", "set", "n", mins))
+    large = named.filter("blocks > 1")
+    task = lambda block, kind: F.struct(F.xxhash64("grp", block).alias("task"), F.lit(kind).alias("kind"))
+    first = F.when(F.col("blocks") > 1, F.array(task(_own(), 1))).otherwise(F.array(F.struct(F.xxhash64("grp").alias("task"), F.lit(2).alias("kind"))))
+    wanted = named.select("cls", "rep", "set", "grp", first.alias("tasks"))
+    some = not large.isEmpty()
+    if some:
+        typical = pivots(large.withColumn("first", F.col("grp"))).select("grp", "blocks", F.col("cls").alias("c"))
+        typical = typical.join(classes, F.col("c") == F.col("cls")).select("cls", "rep", "set", "grp", F.transform(_all("blocks"), lambda b: task(b, 0)).alias("tasks"))
+        wanted = wanted.unionByName(typical)
+    found = compared(wanted, True)
+    links = found.filter("b IS NOT NULL").select("a", "b")
+    rest = found.filter("b IS NULL").select(F.col("grp").alias("g"), F.col("a").alias("c"))
+    if not some or rest.isEmpty():
+        return links
+    counts = cut(rest.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("others")).withColumnRenamed("g", "of"))
+    again = large.join(counts, F.col("grp") == F.col("of")).join(rest, (F.col("grp") == F.col("g")) & (F.col("cls") == F.col("c")), "left")
+    pair = lambda block, other, kind: F.struct(F.xxhash64("grp", block, other).alias("task"), F.lit(kind).alias("kind"))
+    all_ = F.transform(_all("others"), lambda o: pair(_own(), o, 1))
+    other = F.transform(_all("blocks"), lambda b: pair(b, _own("others"), 0))
+    tasks = F.when(F.col("c").isNull(), all_).otherwise(F.concat(all_, other)).alias("tasks")
+    return links.unionByName(compared(again.select("cls", "rep", "set", "grp", tasks), False).select("a", "b"))
 
 
 def near_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, recall: float = 1 - 1e-7, small: int = 1024, depth: int = 3, block: int = 256, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
