@@ -34,6 +34,57 @@ LICENSED = [
 ]
 
 
+APACHE = """Copyright 2020 Somebody
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+BSD3 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+"""
+COMMENTED = {"MIT": MIT, "Apache-2.0": APACHE, "GPL-2.0-or-later": GPL2, "BSD-3-Clause": BSD3, "BSD-2-Clause": BSD3.split("3. ")[0]}
+LICENSED += [(100 + i, f"{a}{mark}{t.strip().replace(chr(10), chr(10) + mark)}{z}\nint main() {{}}") for i, (t, (a, mark, z)) in enumerate((t, m) for t in COMMENTED.values() for m in (("", "", "\n\n"), ("/*\n", " * ", "\n */"), ("", "# ", "\n"), ("", "// ", "\n\n"), ("", "-- ", "\n")))]
+LICENSED += [
+    (200, "// SPDX-License-Identifier: MIT\nint main() {}"), (201, "# SPDX-License-Identifier: GPL-2.0-or-later\nimport os"), (202, "/* SPDX-License-Identifier: BSD-3-Clause */ x"), (203, "This software is released under the MIT License."),
+    (204, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy"), (205, "The code is licensed under the Boost Software License, Version 1.0, see the file."), (206, "published under CC0 1.0."),
+    (207, "Licensed under the Apache License, Version 2.0.\n" + MIT + "\nYou may not use this file except in compliance with the License."), (208, "SPDX-License-Identifier: MIT OR Apache-2.0"),
+]
+
+
+def test_license_headers(spark):
+    """Headers in comments, subjects, tags; what stands on both sides of a match is not a sequence."""
+    of = {i: license_scan.by_hand(t)[1] for i, t in LICENSED if i is not None and i >= 100}
+    assert [of[100 + i] for i in range(25)] == [[name] for name in COMMENTED for _ in range(5)]
+    assert [of[i] for i in range(200, 207)] == [["MIT"], ["GPL-2.0-or-later"], ["BSD-3-Clause"], ["MIT"], ["MPL-2.0"], ["BSL-1.0"], ["CC0-1.0"]] and of[208] == ["MIT OR Apache-2.0"]
+    assert license_scan.by_hand(LICENSED[-2][1]) == (["ApacheRef", "MitPermission", "MitNotice", "ApacheComply"], ["MIT", "Apache-2.0"], "ApacheComply")
+
+
 def test_license_scan(spark):
     docs = spark.createDataFrame([(i, t, "x", "y") for i, t in LICENSED], "doc_id long, text string, ids string, m string")
     found = Counter((r["doc_id"], r["n_sentences"], r["sentences"], r["licenses"], r["unmatched"]) for r in license_scan.scan(docs).collect())
@@ -52,7 +103,23 @@ def test_every_sentence_has_a_cue_and_every_rule_is_known():
 
     for forms in license_scan.SENTENCES.values():
         assert all(re.search(license_scan.CUES, f) for f in forms)
-    assert {x for _, seq in license_scan.RULES for x in seq} <= set(license_scan.SENTENCES)
+    assert all(re.search(license_scan.CUES, f"{x} under") for x in ("licensed", "released", "distributed", "available", "provided", "published"))
+    assert {x for _, seq in license_scan.RULES for x in seq} <= set(license_scan.SENTENCES) | set(license_scan.NAMES)
+    forms = [f for v in [*license_scan.SENTENCES.values(), *license_scan.NAMES.values()] for f in v]
+    assert len(forms) == len(set(forms)) < 200
+
+
+def test_license_sql_on_headers(spark, tmp_path):
+    import duckdb
+
+    docs = spark.createDataFrame([(i, t) for i, t in LICENSED], "doc_id long, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = license_scan.op1_license_scan(spark, str(tmp_path))
+    result = con.execute(license_scan.SQL)
+    order = [[c[0] for c in result.description].index(c) for c in found.columns]
+    assert Counter(tuple(r) for r in found.collect()) == Counter(tuple(r[i] for i in order) for r in result.fetchall())
 
 
 def best_by_hand(rows, k, step):
