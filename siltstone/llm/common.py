@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,26 @@ def scratch(spark: SparkSession, label: str):
         delete_path(spark, path)
 
 
+def tidy(run):
+    """``run`` over a Python task's batches; at its end, memory that the worker has freed goes back to the system.
+
+    Workers live on between tasks, and so would the largest chunk that any of their tasks has ever held.
+    """
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # not every C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there; files go with the last reference."""
     shared_dir(df.sparkSession)

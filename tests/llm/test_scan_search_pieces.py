@@ -138,12 +138,31 @@ def test_metric_search(spark, shard_rows):
     rows += [(1000 + i, [0.5] * 8) for i in range(300)] + [(5000, None), (5001, [None] * 8), (5002, [float("nan")] * 8), (5003, [float("inf")] * 8), (None, [0.1] * 8), (5004, [0.1] * 3), (5100, [0.2] * 3), (200, [0.0] * 8), (5200, []), (5300, [])]
     frame = spark.createDataFrame([(i, v, 1, None) for i, v in rows], "vec_id long, embedding array<float>, id int, v string")
     usable = metric_search.usable(frame)
-    found = metric_search.top_k(usable, usable.filter("id % 100 = 0"), 10, shard_rows).collect()
-    assert Counter(tuple(r) for r in found) == best_by_hand(rows, 10, 100)
+    for sample in (4096, 30):
+        found = metric_search.top_k(usable, usable.filter("id % 100 = 0"), 10, shard_rows, sample).collect()
+        assert Counter(tuple(r) for r in found) == best_by_hand(rows, 10, 100)
     empty = usable.limit(0)
     assert metric_search.top_k(empty, empty).count() == 0
 
 
+def test_queries_go_to_few_shards(spark):
+    """Rows in 60 clusters: most balls can't hold one of a query's best ten, and answers are the same."""
+    rng = np.random.default_rng(3)
+    centers = rng.normal(0, 400, (60, 6))
+    rows = [(i, [int(x) for x in np.floor(centers[i % 60] + rng.normal(0, 5, 6))]) for i in range(6000)]
+    frame = spark.createDataFrame(rows, "id long, v array<long>")
+    queries = frame.filter("id % 100 = 0")
+    _, asked, shards = metric_search.routes(frame, queries, 10, 50, 4096)
+    assert shards >= 60 and asked.count() < 0.3 * shards * queries.count()
+    found = metric_search.top_k(frame, queries, 10, 50).collect()
+    vectors = np.array([v for _, v in rows])
+    expected = Counter()
+    for q in range(0, 6000, 100):
+        best = sorted((-int(s), j) for j, s in enumerate(vectors @ vectors[q]) if j != q)[:10]
+        expected.update((q, rank + 1, j, -s) for rank, (s, j) in enumerate(best))
+    assert Counter(tuple(r) for r in found) == expected
+
+
 def test_tree_avoids_distances():
     rng = np.random.default_rng(2)
     centers = rng.normal(0, 400, (40, 6))
