@@ -2,13 +2,15 @@
 
 Nodes start in shards by hash. In each round a linked node asks to move to the shard in which most of its neighbours are.
 Each link is looked at from one of its ends, which a hash of the hub and the round chooses, so that two ends of a link
-never swap. The driver sees requests and loads as counts by pair of shards, and lets in as many as there is room for and,
-into full shards, as many as leave them in the same round (along cycles of shards). At the end nodes without links fill
-the shards up and what is over moves, so that the law ``rows`` holds exactly: counts are at most one apart. Groups larger
-than a shard are split, and those that found neither room nor an exchange in the rounds.
-
-Defined cases: a null text has no bytes and a size of 1, like an empty one. Rows that repeat an id, or have none, are
-nodes of their own. An empty table gives an empty result. Other columns are ignored.
+never swap. The driver sees requests as counts by pair of shards and bucket of a hash, ``BUCKETS`` for each pair at most,
+and lets in as many buckets as there is room for and, into full shards, as many as leave them in the same round (along
+cycles of shards). At the end nodes without links fill the shards up and what is over moves, so that the law ``rows``
+holds exactly: counts are at most one apart. Groups larger than a shard are split, and those that found neither room nor
+an exchange in the rounds.
+
+Defined cases: a null text has no bytes and a size of 1, like an empty one; a text of any length is read whole. Rows that
+repeat an id, or have none, are nodes of their own; a node whose neighbours are in equal numbers in several shards stays
+where it is if that is one of them, else goes to the first. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,10 +21,21 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import cut, dense_rank_in, table
 
 
+#: A group's nodes hang on so many hubs at most, which hang on the group's first: no node has all links of a large group.
+HUBS = 256
+#: Requests from one shard to another are let in by so many parts.
+BUCKETS = 1024
+
+
 def star_links(nodes: DataFrame, group: str) -> DataFrame:
-    """Links (a, b), b < a, from every node of a group to the group's first node; one link for each node."""
-    hubs = nodes.groupBy(group).agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(group).alias("_g"), "hub")
-    return nodes.join(hubs, nodes[group] == hubs["_g"]).filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    """Links (a, b), b < a, that join the nodes of each group in a tree of two levels; one fewer than nodes."""
+    salt = F.pmod(F.xxhash64("node"), F.lit(HUBS)).cast("int")
+    salted = nodes.select(F.col(group).alias("_g"), "node", salt.alias("_s"))
+    hubs = salted.groupBy("_g", "_s").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
+    tops = hubs.groupBy("_g").agg(F.min("hub").alias("top"), F.sum("n").alias("n")).filter("n > 1").select("_g", "top")
+    hubs = cut(hubs.join(tops, "_g").select("_g", "_s", "hub", "top"))
+    low = salted.join(hubs, ["_g", "_s"]).filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    return low.unionByName(hubs.filter("hub != top").select(F.col("hub").alias("a"), F.col("top").alias("b")))
 
 
 def _votes(links: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
@@ -73,29 +86,42 @@ def admitted(wanted: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[
 
 
 def propagate(links: DataFrame, rows: int, shards: int = 8, rounds: int = 8) -> DataFrame:
-    """(node, shard) of the nodes that have links; no shard is asked to hold more than its even share of ``rows``."""
+    """(node, shard) of the nodes that have links; shards are asked to hold no more than their even share of ``rows``."""
+    spark = links.sparkSession
     links = cut(links)
     nodes = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
     labels = cut(nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")))
+    loads = dict.fromkeys(range(shards), 0) | {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     share, still = rows // shards, 0
     for turn in range(rounds):
-        loads = {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
-        room = [max(0, share - loads.get(s, 0)) for s in range(shards)]
         votes = _votes(links, labels, turn).join(labels, F.col("voter") == F.col("node"))
         best = votes.groupBy("voter").agg(F.max(F.struct("votes", F.col("to") == F.col("shard"), -F.col("to"), "shard")).alias("m"))
         asks = best.select("voter", (-F.col("m")["col3"]).alias("to"), F.col("m")["shard"].alias("from")).filter(F.col("to") != F.col("from"))
-        asks = cut(asks)
-        wanted = {(r["from"], r["to"]): r["n"] for r in asks.groupBy("from", "to").agg(F.count(F.lit(1)).alias("n")).collect()}
-        still = 0 if wanted else still + 1
+        asks = cut(asks.withColumn("bucket", F.pmod(F.xxhash64("voter", F.lit(-1 - turn)), F.lit(BUCKETS)).cast("int")))
+        # At most shards * shards * BUCKETS counts, whatever the number of rows.
+        parts: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for r in sorted(asks.groupBy("from", "to", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()):
+            parts.setdefault((r["from"], r["to"]), []).append((r["bucket"], r["n"]))
+        still = 0 if parts else still + 1
         if still == 2:
             break
-        moves = admitted(wanted, room)
-        if not moves:
+        moves = admitted({x: sum(n for _, n in p) for x, p in parts.items()}, [max(0, share - loads[s]) for s in range(shards)])
+        below = []  # (from, to, first bucket that is not let in)
+        for (x, y), n in moves.items():
+            end = BUCKETS
+            for bucket, size in parts[x, y]:
+                if size > n:
+                    end = bucket
+                    break
+                n -= size
+                loads[x], loads[y] = loads[x] - size, loads[y] + size
+            below.append((x, y, end))
+        if not any(end for _, _, end in below):
             continue
-        quota = F.array(*[F.lit(moves.get((x, y), 0)) for x in range(shards) for y in range(shards)])
-        ranked = dense_rank_in(asks, ["from", "to"], F.col("voter"), rows, "rank")
-        let_in = ranked.filter(F.col("rank") < quota[F.col("from") * shards + F.col("to")]).select(F.col("voter").alias("node"), "to")
-        labels = cut(labels.join(let_in, "node", "left").select("node", F.coalesce("to", "shard").alias("shard")))
+        # As rows and not as literals: each round's plan has the same code.
+        gate = F.broadcast(spark.createDataFrame(below, "x int, y int, below int"))
+        let_in = asks.join(gate, (F.col("from") == F.col("x")) & (F.col("to") == F.col("y")) & (F.col("bucket") < F.col("below")))
+        labels = cut(labels.join(let_in.select(F.col("voter").alias("node"), "to"), "node", "left").select("node", F.coalesce("to", "shard").alias("shard")))
     return labels
 
 
