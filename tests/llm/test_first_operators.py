@@ -50,7 +50,24 @@ def test_index_takes_batches(spark, tmp_path):
     index.flush(odd_docs(spark, [(1, "X"), (5, "z")]))
     index.compact()
     assert {(r["id"], r["keep_id"], r["group_size"]) for r in index.resolve("smallest").collect()} == {(3, 1, 2), (1, 1, 2), (4, 4, 1), (5, 5, 1)}
-    assert index.contains([hashlib.sha256(b"x").digest()]).collect()[0]["n"] == 2
+    assert {tuple(r) for r in index.seen(odd_docs(spark, [(8, "X"), (9, "none"), (10, "z")])).collect()} == {(8, 1, 3, 2), (10, 5, 5, 1)}
+
+
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_many_runs_and_levels(spark, tmp_path, keep):
+    """Memtables of 20 rows, merged by threes, against one group-by."""
+    texts = [(i, f"text {i * i % 101}") for i in range(600)]
+    docs = odd_docs(spark, texts).repartition(7)
+    index = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), memtable_rows=20, fanout=3)
+    index.flush(docs.filter("doc_id < 400"))
+    files = len(spark.read.parquet(index.flushed[0]).inputFiles())
+    index.compact()
+    index.flush(docs.filter("doc_id >= 400"))
+    assert files >= 20 and index.written >= 5
+    merged = index.compact()
+    assert merged.count() == merged.select("digest").distinct().count() == len({t for _, t in texts}) and len(index.levels) == 1
+    found = exact_dedup.exact_groups(docs, keep, memtable_rows=20, fanout=3).collect()
+    assert Counter(tuple(r) for r in found) == groups_by_hand(texts, keep)
 
 
 def check_packing(texts, rows, window=2048):
