@@ -1,4 +1,4 @@
-"""Command line: build, validate, maintain, diff, profile. Exit status 0 is success; failures are 1."""
+"""Command line: build, validate, maintain, diff, profile, publish, job. Exit status 0 is success; failures are 1."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pathlib import Path
 from siltstone.config import PipelineConfig
 from siltstone.functions import correlation
 from siltstone.operators.gate import GateFailure
-from siltstone.plans.layout import open_table
+from siltstone.plans.layout import open_table, publish
 from siltstone.plans.pipeline import print_run_report, run_pipeline
 from siltstone.plans.profile_raw import profile_raw
 from siltstone.plans.versions import reclassify
@@ -23,17 +23,20 @@ from siltstone.store.maintenance import maintenance_report, run_maintenance
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="siltstone", description=__doc__)
     commands = top.add_subparsers(dest="command", required=True)
-    for name in ("build", "validate", "maintain", "diff", "profile"):
+    for name in ("build", "validate", "maintain", "diff", "profile", "publish", "job"):
         p = commands.add_parser(name)
         p.add_argument("--raw-dir", type=Path)
         p.add_argument("--lakehouse-dir", type=Path)
         p.add_argument("--namespace")
         p.add_argument("--fixtures", action="store_true", help="allow any share of rejected rows")
-        if name == "build":
+        if name == "publish":
+            p.add_argument("--schema", default="siltstone")
+        if name in ("build", "job"):
+            p.add_argument("--checkpoint-dir", help="let new files arrive by a stream that keeps its progress here")
             p.add_argument("--full-refresh", action="store_true")
-        if name == "validate":
+        if name in ("validate", "job"):
             p.add_argument("--strict", action="store_true", help="fail on checks without a verdict too")
-        if name == "maintain":
+        if name in ("maintain", "job"):
             p.add_argument("--retain-hours", type=float, default=168.0)
             p.add_argument("--no-vacuum", action="store_true")
         if name == "profile":
@@ -43,7 +46,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def config_of(args: argparse.Namespace) -> PipelineConfig:
-    given = {k: v for k in ("raw_dir", "lakehouse_dir", "namespace") if (v := getattr(args, k)) is not None}
+    given = {k: v for k in ("raw_dir", "lakehouse_dir", "namespace", "checkpoint_dir") if (v := getattr(args, k, None)) is not None}
     config = replace(PipelineConfig(), **given)
     return config.for_fixtures() if args.fixtures else config
 
@@ -71,12 +74,11 @@ def _validate(spark, config, args) -> int:
     if not table.exists() or table.read().isEmpty():
         print("no gold rows", file=sys.stderr)
         return 1
-    checks = correlation.correlations(table.read())
-    print(correlation.format_summary(checks))
-    for r in correlation.control_axis_detail(table.read()).collect():
-        print(f"{r['axis']:<20}{r['rows']:>8}" + "".join(f"{'-' if r[v] is None else f'{r[v]:+.4f}':>10}" for v in correlation.EXPECTED))
-    inconclusive = [c for c in checks if c.verdict not in ("OK", "WRONG SIGN")]
-    return int(bool(correlation.wrong_sign_checks(checks) or args.strict and inconclusive))
+    found = correlation.checks(table.read())
+    print(correlation.report(found))
+    correlation.by_axis(table.read()).orderBy("axis").show(100, truncate=False)
+    failing = "verdict = 'WRONG SIGN'" if not args.strict else "verdict != 'OK'"
+    return int(not found.filter(failing).isEmpty())
 
 
 def _maintain(spark, config, args) -> int:
@@ -102,6 +104,25 @@ def _profile(spark, config, args) -> int:
     return 0
 
 
+def _publish(spark, config, args) -> int:
+    publish(spark, config, args.schema).show(100, truncate=False)
+    return 0
+
+
+#: The tasks of the scheduled job, each with those that must have succeeded before it. One run at a time.
+JOB = {"build": (), "validate": ("build",), "maintain": ("validate",)}
+
+
+def _job(spark, config, args) -> int:
+    """The tasks of the job in order; what comes after a failure is not run."""
+    done: set[str] = set()
+    for name, after in JOB.items():
+        if done.issuperset(after) and not globals()[f"_{name}"](spark, config, args):
+            done.add(name)
+    print(f"done: {', '.join(n for n in JOB if n in done) or 'nothing'}")
+    return int(len(done) < len(JOB))
+
+
 def script() -> None:
     if status := main():
         sys.exit(status)

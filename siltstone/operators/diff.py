@@ -22,6 +22,11 @@ def transitions(diff: DataFrame, group: str) -> DataFrame:
     return moved.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(group).alias("groups")).orderBy(F.col("rows").desc(), "before", "after")
 
 
+def moved(diff: DataFrame, group: str, n: int) -> DataFrame:
+    """The first groups with changed rows and their values before and after."""
+    return diff.filter("change = 'changed'").select(group, "before", "after").distinct().orderBy(group, "before", "after").limit(n)
+
+
 def totals(before: DataFrame, after: DataFrame, value: str) -> DataFrame:
     """Rows by value in both snapshots and the signed difference."""
     b = before.groupBy(value).agg(F.count(F.lit(1)).alias("rows_before"))

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.config import GateLimits, QualityThresholds
+from siltstone.config import QualityThresholds
 from siltstone.functions.provenance import UNKNOWN
 
 # Reasons.
-PREF_BOUNDS, CONF_BOUNDS = "pref_out_of_bounds", "conf_out_of_bounds"
 PREF_MISSING, CONF_MISSING = "pref_missing", "conf_missing"
 DUPLICATE, SET_MISMATCH = "duplicate_scenario_product", "scenario_product_set_mismatch"
 MISSING_FEATURE, MISSING_LABEL = "missing_feature_row", "missing_label_row"
@@ -43,42 +44,48 @@ def with_reasons(joined: DataFrame, sets: DataFrame, thresholds: QualityThreshol
     differing = sets.filter(~F.col("products_match")).select("scenario_id", F.lit(True).alias("_differs"))
     rows = joined.join(differing, "scenario_id", "left")
     times = F.count(F.lit(1)).over(Window.partitionBy("scenario_id", "id_prod"))
-    t = thresholds
-    rules = {
-        PREF_BOUNDS: outside("pref", t.pref_min, t.pref_max),
-        CONF_BOUNDS: outside("conf", t.conf_min, t.conf_max),
+    rules = {thresholds.reason(c): outside(c, *bounds) for c, bounds in thresholds.bounds.items()} | {
         PREF_MISSING: F.col("_has_label") & F.col("pref").isNull(),
         CONF_MISSING: F.col("_has_label") & F.col("conf").isNull(),
         DUPLICATE: F.col("_times") > 1,
         SET_MISMATCH: F.coalesce("_differs", F.lit(False)),
         MISSING_FEATURE: ~F.col("_has_feature"),
         MISSING_LABEL: ~F.col("_has_label"),
-    } | {r.rejection_reason: outside(r.column, r.minimum, r.maximum) for r in t.ranges}
+    }
     return rows.withColumn("_times", times).withColumn(REASONS, reasons_array(rules)).drop("_times", "_differs", "_has_label", "_has_feature")
 
 
+def first_rejected(rejected: DataFrame, n: int = 20) -> DataFrame:
+    """The first rejected rows in order of their keys."""
+    return rejected.orderBy("scenario_id", "id_prod", "label_ordinal").limit(n)
+
+
 def split_on_gate(gated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(passed without reasons, rejected with them)."""
     return gated.filter(F.size(REASONS) == 0).drop(REASONS), gated.filter(F.size(REASONS) > 0)
 
 
-def gate_counts(gated: DataFrame) -> dict[str, int]:
-    """Passed, rejected and unknown rows in one pass."""
+def gate_counts(gated: DataFrame) -> DataFrame:
+    """One row (passed_rows, rejected_rows, rejected_share, unknown_rows); the share is null without rows."""
     bad = F.size(REASONS) > 0
-    return gated.agg(F.count_if(~bad).alias("passed"), F.count_if(bad).alias("rejected"), F.count_if(F.col("source_type") == UNKNOWN).alias("unknown")).first().asDict()
-
-
-def enforce_gate_limits(counts: dict[str, int], limits: GateLimits) -> None:
-    """Raise if too much was rejected or an id is of no known class, passed or not; nothing to check without rows."""
-    total = counts["passed"] + counts["rejected"]
-    if not total:
-        return
-    if limits.max_rejected_rows is not None and counts["rejected"] > limits.max_rejected_rows:
-        raise GateFailure(f"{counts['rejected']} rejected rows, more than {limits.max_rejected_rows}")
-    if counts["rejected"] / total > limits.max_rejected_fraction:
-        raise GateFailure(f"{counts['rejected'] / total:.4%} of rows rejected, more than {limits.max_rejected_fraction:.4%}")
-    if limits.fail_on_unknown_source_type and counts["unknown"]:
-        raise GateFailure(f"{counts['unknown']} rows of unknown source type")
+    counts = gated.agg(F.count_if(~bad).alias("passed_rows"), F.count_if(bad).alias("rejected_rows"), F.count_if(F.col("source_type") == UNKNOWN).alias("unknown_rows"))
+    return counts.withColumn("rejected_share", F.try_divide("rejected_rows", F.col("passed_rows") + F.col("rejected_rows")))
+
+
+def beyond(counts: DataFrame, limits: Mapping[str, float | None]) -> DataFrame:
+    """(measure, value, most) for each limit that the counts are beyond; nothing is beyond a limit of None."""
+    rows = [F.struct(F.lit(name).alias("measure"), F.col(name).cast("double").alias("value"), F.lit(float(most)).alias("most")) for name, most in limits.items() if most is not None]
+    if not rows:
+        return counts.sparkSession.createDataFrame([], "measure string, value double, most double")
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*").filter("value > most")
+
+
+def enforce(counts: DataFrame, limits: Mapping[str, float | None]) -> dict[str, float]:
+    """The counts; an error if too much was rejected or an id, passed or not, is of no known class."""
+    over = [f"{r['measure']} {r['value']:g}, more than {r['most']:g}" for r in beyond(counts, limits).orderBy("measure").collect()]
+    if over:
+        raise GateFailure("; ".join(over))
+    return counts.first().asDict()
 
 
 def gate_summary(rejected: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.config import PipelineConfig
+from siltstone.config import FEATURES, LABELS, PipelineConfig
 from siltstone.operators import profile
 from siltstone.schema import COSTS, FEATURES_DDL, LABELS_DDL, MEASURES
+from siltstone.sources.files import listed
 from siltstone.sources.json_scan import records
 
 
@@ -17,8 +18,8 @@ def _rows(df: DataFrame) -> list[dict]:
 
 def profile_raw(spark: SparkSession, config: PipelineConfig, top_patterns: int = 20) -> dict:
     """Everything as plain lists and dictionaries; each is an aggregate of bounded size."""
-    labels = records(spark, [str(p) for p in config.label_files()], LABELS_DDL)
-    features = records(spark, [str(p) for p in config.feature_files()], FEATURES_DDL)
+    labels = records(spark, list(listed(spark, config, LABELS)), LABELS_DDL)
+    features = records(spark, list(listed(spark, config, FEATURES)), FEATURES_DDL)
     judged = labels.select("id", F.explode("labelled_alternatives").alias("l")).select("id", "l.*")
     options = features.select("id", F.explode("alternatives").alias("a")).select("id", "a.id_prod", *[f"a.{m}" for m in MEASURES], *[F.col(f"a.c.{c}").alias(c) for c in COSTS])
     out = {}

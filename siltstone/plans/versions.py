@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.config import PipelineConfig
-from siltstone.functions.provenance import naive_source_type_column, source_type_column
+from siltstone.functions.provenance import CORRECTED, FIRST_GUESS
 from siltstone.operators import diff
 from siltstone.plans.layout import open_table
 from siltstone.plans.pipeline import run_pipeline
@@ -27,7 +27,7 @@ class VersionDiff:
 
     def sample(self, n: int = 10) -> DataFrame:
         """The first changed scenarios with the values before and after."""
-        return self.changed().select("scenario_id", "before", "after").distinct().orderBy("scenario_id", "before", "after").limit(n)
+        return diff.moved(self.rows, "scenario_id", n)
 
 
 def diff_versions(spark: SparkSession, config: PipelineConfig, before: int, after: int, value: str = "source_type") -> VersionDiff:
@@ -39,7 +39,7 @@ def diff_versions(spark: SparkSession, config: PipelineConfig, before: int, afte
 
 def reclassify(spark: SparkSession, config: PipelineConfig) -> VersionDiff:
     """Two whole builds, the second with all rows classified anew."""
-    run_pipeline(spark, config, naive_source_type_column, full_refresh=True)
+    run_pipeline(spark, config, FIRST_GUESS, full_refresh=True)
     before = open_table(spark, config, GOLD).latest()
-    run_pipeline(spark, config, source_type_column, full_refresh=True)
+    run_pipeline(spark, config, CORRECTED, full_refresh=True)
     return diff_versions(spark, config, before, open_table(spark, config, GOLD).latest())

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 # Fields of one alternative in the features file, in file order; all but the first are doubles.
 COSTS = ("c_p", "c_w", "c_m")
 MEASURES = ("circ_orig", "fu_recyc", "fu_incin", "fu_inert", "fu_haz", "health", "gwp", "wdp", "fwu", "b", "compressive_strength", "slump", "water_to_cement_ratio", "cement_content", "SCM_content", "density", "d_max")
@@ -40,15 +38,3 @@ GOLD_CHECKS = {
     "ordinals_present": "label_ordinal IS NOT NULL AND alternative_ordinal IS NOT NULL",
 }
 
-
-@dataclass(frozen=True)
-class RangeRule:
-    """Values of ``column`` lie in [minimum, maximum]."""
-
-    column: str
-    minimum: float
-    maximum: float
-
-    @property
-    def rejection_reason(self) -> str:
-        return f"{self.column}_out_of_range"

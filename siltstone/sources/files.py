@@ -1,50 +1,81 @@
-"""Raw files by content: what is there, and what of it has not been ingested."""
+"""Raw files by content: what is there, and what of it has not been ingested. All of it goes through Hadoop file systems."""
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import UTC, datetime
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.config import PipelineConfig
+from siltstone.config import SOURCES, PipelineConfig
 from siltstone.schema import INGEST_LOG_DDL
 
-LABELS, FEATURES = "labels", "features"
+#: Files above this are hashed as a stream, since the scan of whole files holds each in memory.
+SCANNED_BYTES = 512 << 20
 
 
 @dataclass(frozen=True)
-class SourceFile:
-    path: Path
+class RawFile:
     kind: str
-    content_hash: str
+    path: str
+    digest: str
     size: int
 
     @property
     def name(self) -> str:
-        return self.path.name
+        return self.path.rsplit("/", 1)[1]
 
 
-def file_hash(path: Path) -> str:
-    with open(path, "rb") as f:
-        return hashlib.file_digest(f, "sha256").hexdigest()
+def _hadoop(spark: SparkSession, place: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def content_hashes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(source_file, file_hash, byte_size) by a distributed scan; for stores that only Spark reads."""
+def listed(spark: SparkSession, config: PipelineConfig, kind: str) -> dict[str, int]:
+    """Paths and sizes of the files of a kind, in order of path; an error if there is none."""
+    found: dict[str, int] = {}
+    for pattern in SOURCES[kind]:
+        path, system = _hadoop(spark, f"{str(config.raw_dir).rstrip('/')}/{pattern}")
+        found |= {s.getPath().toString(): s.getLen() for s in system.globStatus(path) or ()}
+    if not found:
+        raise FileNotFoundError(f"no {kind} files ({', '.join(SOURCES[kind])}) in {config.raw_dir}")
+    return dict(sorted(found.items()))
+
+
+def first_release(spark: SparkSession, config: PipelineConfig, kind: str) -> str:
+    """The one file of a kind that a first release has; of several names the earlier one counts."""
+    names = [p.replace("*", "") for p in SOURCES[kind]]
+    there = {p.rsplit("/", 1)[1]: p for p in listed(spark, config, kind)}
+    if not there.keys() & set(names):
+        raise FileNotFoundError(f"none of {', '.join(names)} in {config.raw_dir}")
+    return there[min(there.keys() & set(names), key=names.index)]
+
+
+def content_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, source_file, file_hash, byte_size) by a distributed scan, a task for each few files."""
     files = spark.read.format("binaryFile").load(paths)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), F.sha2("content", 256).alias("file_hash"), F.col("length").alias("byte_size"))
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("source_file"), F.sha2("content", 256).alias("file_hash"), F.col("length").alias("byte_size"))
 
 
-def describe_sources(config: PipelineConfig) -> list[SourceFile]:
-    """Every labels and features file that is there, hashed."""
-    found = [(LABELS, p) for p in config.label_files()] + [(FEATURES, p) for p in config.feature_files()]
-    return [SourceFile(p, kind, file_hash(p), p.stat().st_size) for kind, p in found]
+def stream_hash(spark: SparkSession, place: str) -> str:
+    """SHA-256 of a file of any size, read as a stream in the JVM of the driver."""
+    path, system = _hadoop(spark, place)
+    stream = system.open(path)
+    try:
+        return spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
+
+
+def describe(spark: SparkSession, config: PipelineConfig) -> list[RawFile]:
+    """Every raw file that is there, with its content's hash; one row for each file reaches the driver."""
+    sizes = {kind: listed(spark, config, kind) for kind in SOURCES}
+    small = [p for found in sizes.values() for p, n in found.items() if n <= SCANNED_BYTES]
+    digests = {r["source_file"]: r["file_hash"] for r in content_hashes(spark, small).select("source_file", "file_hash").collect()} if small else {}
+    return [RawFile(kind, p, digests[p.rsplit("/", 1)[1]] if n <= SCANNED_BYTES else stream_hash(spark, p), n) for kind, found in sizes.items() for p, n in found.items()]
 
 
 def pending(present: DataFrame, log: DataFrame) -> DataFrame:
@@ -57,20 +88,24 @@ def pending(present: DataFrame, log: DataFrame) -> DataFrame:
     return present.join(last, ["source_file", "file_hash"], "left_anti")
 
 
-def pending_sources(spark: SparkSession, sources: Iterable[SourceFile], log: DataFrame) -> list[SourceFile]:
-    sources = list(sources)
-    present = spark.createDataFrame([(s.name, s.content_hash) for s in sources], "source_file string, file_hash string")
-    names = {(r["source_file"], r["file_hash"]) for r in pending(present, log).collect()}
-    return [s for s in sources if (s.name, s.content_hash) in names]
+def not_ingested(spark: SparkSession, present: Iterable[RawFile], log: DataFrame) -> list[RawFile]:
+    present = list(present)
+    frame = spark.createDataFrame([(i, f.name, f.digest) for i, f in enumerate(present)], "i int, source_file string, file_hash string")
+    return [present[r["i"]] for r in pending(frame, log).orderBy("i").collect()]
 
 
 def empty_log(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], INGEST_LOG_DDL)
 
 
-def log_rows(spark: SparkSession, sources: Iterable[SourceFile], batch_id: str, counts: dict[str, int]) -> DataFrame:
+def log_rows(spark: SparkSession, taken: Iterable[RawFile], batch_id: str, counts: dict[str, int]) -> DataFrame:
     now = datetime.now(UTC)
-    return spark.createDataFrame([(s.name, s.content_hash, s.kind, s.size, counts.get(s.name, 0), batch_id, now) for s in sources], INGEST_LOG_DDL)
+    return spark.createDataFrame([(f.name, f.digest, f.kind, f.size, counts.get(f.name, 0), batch_id, now) for f in taken], INGEST_LOG_DDL)
+
+
+def rows_by_file(landed: DataFrame, batch_id: str) -> DataFrame:
+    """(source_file, rows) of one batch."""
+    return landed.filter(F.col("_batch_id") == batch_id).groupBy(F.col("_source_file").alias("source_file")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def new_batch_id() -> str:

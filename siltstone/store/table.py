@@ -2,7 +2,9 @@
 
 A version is a manifest: live data folders, schema, properties, constraints and what made it. Data folders are never
 changed. Rows of a table with a ``scope`` column lie in folders by a hash bucket of it, so that a merge reads and writes
-the buckets that it touches and a diff looks only at buckets that are not the same folder in both versions.
+the buckets that it touches and a diff looks only at buckets that are not the same folder in both versions. How many
+buckets there are follows from the rows when a table is written whole, and is in the manifest; compaction deals a table
+anew that has outgrown them. Writers get partitions of Spark's advisory size, and one scope value may hold any share.
 """
 
 from __future__ import annotations
@@ -10,7 +12,9 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,18 +35,21 @@ class VersionGone(LookupError):
     """The version is not there, or its files have expired."""
 
 
-def match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of all keys."""
-    out = left[keys[0]].eqNullSafe(right[keys[0]])
-    for k in keys[1:]:
-        out = out & left[k].eqNullSafe(right[k])
-    return out
+def match(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    """Null-safe equality of all pairs of keys."""
+    return reduce(Column.__and__, [a.eqNullSafe(b) for a, b in zip(left, right, strict=True)])
+
+
+def violations(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
+    """(name, n): the number of rows that break each check, in one pass; a check that is null passes, as in SQL."""
+    counts = df.agg(*[F.count_if(~F.coalesce(F.expr(c), F.lit(True))).alias(n) for n, c in checks.items()])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in checks])).alias("s")).select("s.*")
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, scope: str | None = None, buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str, scope: str | None = None, buckets: int | None = None, bucket_rows: int = 1_000_000):
         self.spark, self.root, self.log = spark, root.rstrip("/"), Log(spark, root)
-        self.scope, self.buckets = scope, buckets if scope else 1
+        self.scope, self.fixed, self.bucket_rows = scope, buckets if scope else 1, bucket_rows
 
     # ---- reading
 
@@ -87,27 +94,64 @@ class VersionedTable:
 
     # ---- writing
 
-    def _write(self, df: DataFrame) -> list[dict]:
-        """Data folders of the rows of ``df``, one for each bucket that has any."""
+    def _put(self, df: DataFrame, buckets: int, order: Sequence[str] = ()) -> list[dict]:
+        """Data folders of the rows of ``df``, one for each bucket that has any; sorted by ``order`` in each file."""
         name = f"data/{uuid.uuid4().hex}"
-        if not self.scope:
-            df.write.parquet(f"{self.root}/{name}")
+        if buckets == 1:
+            (df.sortWithinPartitions(*order) if order else df).write.parquet(f"{self.root}/{name}")
             return [{"path": name, "bucket": 0}]
-        dealt = df.withColumn(BUCKET, self._bucket(F.col(self.scope)))
-        # A bucket is spread over tasks by the whole row, so that one scope value may hold any share of the rows.
-        dealt.repartition(BUCKET, F.pmod(F.xxhash64(*[c for c in df.columns if not isinstance(df.schema[c].dataType, T.MapType)]), F.lit(4))).write.partitionBy(BUCKET).parquet(f"{self.root}/{name}")
+        dealt = df.withColumn(BUCKET, self._bucket(F.col(self.scope), buckets))
+        if order:
+            dealt = dealt.repartitionByRange(BUCKET, *order).sortWithinPartitions(BUCKET, *order)
+        else:
+            # Partitions of the advisory size: small buckets share a writer, large ones have several.
+            dealt = dealt.hint("rebalance", BUCKET)
+        dealt.write.partitionBy(BUCKET).parquet(f"{self.root}/{name}")
         return [{"path": path, "bucket": int(path.rsplit("=", 1)[1])} for path, _ in self.log.folders(name)]
 
-    def _bucket(self, column: Column) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(self.buckets)).cast("int")
+    def _fitting(self, rows: int) -> int:
+        """Buckets for so many rows."""
+        if self.fixed:
+            return self.fixed
+        return 1 << max(0, (-(-rows // self.bucket_rows) - 1).bit_length())
+
+    def _write(self, df: DataFrame) -> tuple[list[dict], int]:
+        """Folders of a whole table and the number of its buckets. What ``df`` says is computed once."""
+        if self.fixed:
+            return self._put(df, self.fixed), self.fixed
+        whole = self._put(df, 1)
+        there = self.spark.read.schema(_nullable(df.schema)).parquet(f"{self.root}/{whole[0]['path']}")
+        buckets = self._fitting(there.count())
+        if buckets == 1:
+            return whole, 1
+        try:
+            return self._put(there, buckets), buckets
+        finally:
+            self.log.delete(whole[0]["path"])
+
+    @contextmanager
+    def _staged(self, df: DataFrame):
+        """``df``, computed once and written down for the time of the block."""
+        path = f"staged/{uuid.uuid4().hex}"
+        try:
+            df.write.parquet(f"{self.root}/{path}")
+            yield self.spark.read.schema(df.schema).parquet(f"{self.root}/{path}")
+        finally:
+            self.log.delete(path)
 
-    def _commit(self, before: dict | None, folders: list[dict], fresh: list[dict], schema: T.StructType, operation: str, metrics: dict | None = None, **more) -> int:
-        """Check the constraints on the fresh folders, then commit on top of ``before``."""
-        base = before or {"version": -1, "properties": {}, "constraints": {}}
-        made = {"version": base["version"] + 1, "timestamp": int(time.time() * 1000), "operation": operation, "metrics": {k: str(v) for k, v in (metrics or {}).items()}, "folders": folders, "schema": json.loads(schema.json()), "properties": base["properties"], "constraints": base["constraints"]} | more
+    @staticmethod
+    def _bucket(column: Column, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int")
+
+    def _commit(self, before: dict | None, folders: list[dict], fresh: list[dict], schema: T.StructType, operation: str, metrics: dict | None = None, check: Callable[[DataFrame], None] | None = None, **more) -> int:
+        """Check the constraints, and ``check``, on the fresh folders, then commit on top of ``before``."""
+        base = before or {"version": -1, "properties": {}, "constraints": {}, "buckets": 1}
+        made = {"version": base["version"] + 1, "timestamp": int(time.time() * 1000), "operation": operation, "metrics": {k: str(v) for k, v in (metrics or {}).items()}, "folders": folders, "schema": json.loads(schema.json()), "properties": base["properties"], "constraints": base["constraints"], "buckets": base["buckets"]} | more
         try:
             if fresh and made["constraints"]:
                 self._validate(self._frame(fresh, schema), made["constraints"])
+            if fresh and check:
+                check(self._frame(fresh, schema))
             self.log.commit(made["version"], made)
         except Exception:
             for f in fresh:
@@ -118,19 +162,26 @@ class VersionedTable:
     def _before(self) -> dict | None:
         return self.manifest() if self.exists() else None
 
-    def overwrite(self, df: DataFrame) -> int:
+    def overwrite(self, df: DataFrame, check: Callable[[DataFrame], None] | None = None) -> int:
         """Replace rows and schema."""
-        fresh = self._write(df)
-        return self._commit(self._before(), fresh, fresh, _nullable(df.schema), "WRITE", {"folders": len(fresh)})
+        fresh, buckets = self._write(df)
+        return self._commit(self._before(), fresh, fresh, _nullable(df.schema), "WRITE", {"folders": len(fresh)}, check, buckets=buckets)
 
-    def append(self, df: DataFrame) -> int:
-        """Add rows; new columns are added to the schema, columns that ``df`` lacks are null."""
+    def append(self, df: DataFrame, check: Callable[[DataFrame], None] | None = None) -> int:
+        """Add rows; new columns are added to the schema, columns that ``df`` lacks are null. ``check`` sees the rows as they
+        are written, and they stay out of the table if it raises."""
         before = self._before()
         if before is None:
-            return self.overwrite(df)
+            return self.overwrite(df, check)
         schema = merged_schema(T.StructType.fromJson(before["schema"]), df.schema)
-        fresh = self._write(df)
-        return self._commit(before, before["folders"] + fresh, fresh, schema, "APPEND", {"folders": len(fresh)})
+        fresh = self._put(df, before["buckets"])
+        return self._commit(before, before["folders"] + fresh, fresh, schema, "APPEND", {"folders": len(fresh)}, check)
+
+    def added(self, version: int) -> DataFrame:
+        """The rows of the folders that a version has and the one before it has not."""
+        m = self.manifest(version)
+        old = {f["path"] for f in self.manifest(version - 1)["folders"]} if version else set()
+        return self._frame([f for f in m["folders"] if f["path"] not in old], T.StructType.fromJson(m["schema"]))
 
     def merge_scoped(self, source: DataFrame, keys: Sequence[str], scope: DataFrame) -> int | None:
         """Update and insert the rows of ``source``, and delete other rows whose scope value is in ``scope``.
@@ -140,13 +191,17 @@ class VersionedTable:
         """
         if not self.scope:
             raise ValueError("a merge needs a table with a scope column")
+        with self._staged(source) as rows, self._staged(scope.select(F.col(scope.columns[0]).alias("_scope")).distinct()) as values:
+            return self._merge(rows, keys, values)
+
+    def _merge(self, source: DataFrame, keys: Sequence[str], scope: DataFrame) -> int | None:
         if not source.groupBy(*keys).count().filter("count > 1").isEmpty():
             raise ValueError(f"several source rows have the same {', '.join(keys)}")
         before = self._before()
         if before is None:
             return self.overwrite(source)
-        scope = scope.select(F.col(scope.columns[0]).alias("_scope")).distinct()
-        touched = scope.select(self._bucket(F.col("_scope")).alias("b")).union(source.select(self._bucket(source[self.scope]).alias("b"))).distinct()
+        buckets = before["buckets"]
+        touched = scope.select(self._bucket(F.col("_scope"), buckets).alias("b")).union(source.select(self._bucket(source[self.scope], buckets).alias("b"))).distinct()
         which = {r["b"] for r in touched.collect()}  # at most ``buckets`` numbers
         if not which:
             return None
@@ -154,11 +209,8 @@ class VersionedTable:
         old = self._frame([f for f in before["folders"] if f["bucket"] in which], schema)
         out_of_scope = old.join(scope, old[self.scope].eqNullSafe(scope["_scope"]), "left_anti")
         named = source.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        condition = out_of_scope[keys[0]].eqNullSafe(named["_k0"])
-        for i, k in enumerate(keys[1:], 1):
-            condition = condition & out_of_scope[k].eqNullSafe(named[f"_k{i}"])
-        stay = out_of_scope.join(named, condition, "left_anti")
-        fresh = self._write(stay.unionByName(source, allowMissingColumns=True).select(*schema.names))
+        stay = out_of_scope.join(named, match([out_of_scope[k] for k in keys], [named[c] for c in named.columns]), "left_anti")
+        fresh = self._put(stay.unionByName(source, allowMissingColumns=True).select(*schema.names), buckets)
         folders = [f for f in before["folders"] if f["bucket"] not in which] + fresh
         return self._commit(before, folders, fresh, schema, "MERGE", {"buckets": len(which)})
 
@@ -184,11 +236,9 @@ class VersionedTable:
         return list(new)
 
     @staticmethod
-    def _validate(df: DataFrame, checks: dict[str, str]) -> None:
-        """One pass over the rows; a check that is null passes, as in SQL."""
-        broken = df.agg(*[F.count_if(~F.coalesce(F.expr(c), F.lit(True))).alias(n) for n, c in checks.items()]).first().asDict()
-        if bad := {k: v for k, v in broken.items() if v}:
-            raise ConstraintViolation(", ".join(f"{k}: {v} rows" for k, v in bad.items()))
+    def _validate(df: DataFrame, checks: Mapping[str, str]) -> None:
+        if bad := violations(df, checks).filter("n > 0").orderBy("name").collect():
+            raise ConstraintViolation(", ".join(f"{r['name']}: {r['n']} rows" for r in bad))
 
     # ---- changes
 
@@ -203,35 +253,32 @@ class VersionedTable:
         old, new = (self._frame([f for f in m["folders"] if f["path"] not in shared], schema) for m in (a, b))
         pack = lambda df, name: df.select(*[F.col(k).alias(f"{name}_{i}") for i, k in enumerate(keys)], F.struct(*schema.names).alias(name))
         old, new = pack(old, "old"), pack(new, "new")
-        condition = F.lit(True)
-        for i in range(len(keys)):
-            condition = condition & old[f"old_{i}"].eqNullSafe(new[f"new_{i}"])
-        both = old.join(new, condition, "full_outer").filter(~F.col("old").eqNullSafe(F.col("new")))
+        same = match([old[f"old_{i}"] for i in range(len(keys))], [new[f"new_{i}"] for i in range(len(keys))])
+        both = old.join(new, same, "full_outer").filter(~F.col("old").eqNullSafe(F.col("new")))
         kinds = F.when(F.col("old").isNull(), F.array(F.struct(F.lit(INSERT).alias("t"), F.col("new").alias("r")))).when(F.col("new").isNull(), F.array(F.struct(F.lit(DELETE).alias("t"), F.col("old").alias("r")))).otherwise(F.array(F.struct(F.lit(BEFORE).alias("t"), F.col("old").alias("r")), F.struct(F.lit(AFTER).alias("t"), F.col("new").alias("r"))))
         return both.select(F.explode(kinds).alias("c")).select("c.r.*", F.col("c.t").alias("_change_type"))
 
     # ---- maintenance
 
     def optimize(self, order: Sequence[str]) -> int | None:
-        """Rewrite buckets of several folders, or the whole of a table without buckets, sorted; rows stay the same."""
+        """Rewrite buckets of several folders, or all if the table has outgrown its buckets or has none, sorted by all
+        columns of ``order``; rows stay the same."""
         before = self.manifest()
         schema = T.StructType.fromJson(before["schema"])
         by: dict[int, list[dict]] = {}
         for f in before["folders"]:
             by.setdefault(f["bucket"], []).append(f)
-        several = {b for b, fs in by.items() if len(fs) > 1} if self.scope else set(by)
+        buckets = self._fitting(self.read().count()) if self.scope else 1
+        outgrown = not before["buckets"] <= buckets < 4 * before["buckets"]
+        if not outgrown:
+            buckets = before["buckets"]
+        several = {b for b, fs in by.items() if outgrown or len(fs) > 1 or not self.scope}
         if not several:
             return None
         old = self._frame([f for b in several for f in by[b]], schema)
-        name = f"data/{uuid.uuid4().hex}"
-        if self.scope:
-            old.withColumn(BUCKET, self._bucket(F.col(self.scope))).repartitionByRange(BUCKET, *order).sortWithinPartitions(BUCKET, *order).write.partitionBy(BUCKET).parquet(f"{self.root}/{name}")
-            fresh = [{"path": p, "bucket": int(p.rsplit("=", 1)[1])} for p, _ in self.log.folders(name)]
-        else:
-            old.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{self.root}/{name}")
-            fresh = [{"path": name, "bucket": 0}]
+        fresh = self._put(old if buckets > 1 else old.repartitionByRange(*order), buckets, order)
         folders = [f for f in before["folders"] if f["bucket"] not in several] + fresh
-        return self._commit(before, folders, fresh, schema, "OPTIMIZE", {"buckets": len(several)})
+        return self._commit(before, folders, fresh, schema, "OPTIMIZE", {"buckets": len(several)}, buckets=buckets)
 
     def vacuum(self, retain_hours: float = 168.0) -> list[str]:
         """Delete data folders that no version has that was current inside the window; returns their names."""

@@ -9,12 +9,12 @@ import scenarios as s
 from pyspark.sql import functions as F
 
 from siltstone import PipelineConfig, cli, run_pipeline
-from siltstone.config import GateLimits
-from siltstone.functions.provenance import naive_source_type_column
+from siltstone.config import LIMITS
+from siltstone.functions.provenance import FIRST_GUESS
 from siltstone.operators import gate
 from siltstone.operators.unnest import current_rows
 from siltstone.plans import pipeline as p
-from siltstone.plans.layout import open_table
+from siltstone.plans.layout import open_table, publish
 from siltstone.plans.profile_raw import profile_raw
 from siltstone.plans.versions import reclassify
 from siltstone.schema import BRONZE_LABELS, GOLD, GOLD_COLUMNS, REJECTED, SILVER_FEATURES, SILVER_LABELS, SILVER_SITUATION, SILVER_STAKEHOLDER
@@ -113,7 +113,7 @@ def test_run_that_died_after_silver_is_caught_up_with(spark, tmp_path, monkeypat
 
 
 def test_limits_stop_a_run_before_gold(spark, tmp_path):
-    config = config_at(tmp_path, limits=GateLimits(max_rejected_rows=3))
+    config = config_at(tmp_path, limits={**LIMITS, "rejected_rows": 3})
     s.put_base(config.raw_dir)
     for _ in range(2):  # the next run fails again
         with pytest.raises(gate.GateFailure):
@@ -159,7 +159,7 @@ def test_version_diff(spark, tmp_path):
 
 def test_naive_is_naive(spark):
     ids = spark.createDataFrame([("control_gwp_1",), ("control_archfinish_slump_2",), ("expert_1",)], "scenario_id string")
-    assert [r[0] for r in ids.select(naive_source_type_column()).collect()] == ["control_synthetic", "llm_generated", "llm_generated"]
+    assert [r[0] for r in ids.select(FIRST_GUESS()).collect()] == ["control_synthetic", "llm_generated", "llm_generated"]
 
 
 def test_maintenance_keeps_rows(spark, stages):
@@ -200,3 +200,37 @@ def test_value_changes_only(spark, tmp_path):
     s.put(config.raw_dir, "labelled_alternatives.json", s.REVISED_LABELS)
     assert run_pipeline(spark, config).changed_ids() == ["2647", "control_health_1068"]
     assert open_table(spark, config, GOLD).read().filter(F.col("scenario_id") == "2647").count() == 5
+
+
+def test_arrival_by_stream(spark, tmp_path):
+    """New files by the stream, with rescue and lineage; a replaced one by its content; the same tables in the end."""
+    config = config_at(tmp_path, checkpoint_dir=str(tmp_path / "progress"))
+    s.put_base(config.raw_dir)
+    run_pipeline(spark, config)
+    assert open_table(spark, config, GOLD).read().count() == 13 and (tmp_path / "progress" / "labels").exists()
+    landed = open_table(spark, config, BRONZE_LABELS).read()
+    assert landed.filter("_file_hash IS NULL AND _batch_id IS NOT NULL AND _ingested_at IS NOT NULL").count() == 5
+    assert run_pipeline(spark, config).skipped
+    s.put_next(config.raw_dir)
+    s.put(config.raw_dir, "labelled_alternatives.json", s.REVISED_LABELS)
+    result = run_pipeline(spark, config)
+    assert sorted(f.name for f in result.ingested) == ["frozen_dataset_batch2.json", "labelled_alternatives.json", "labelled_alternatives_batch2.json"]
+    assert (open_table(spark, config, GOLD).read().count(), open_table(spark, config, REJECTED).read().count()) == (25, 1)
+    hashed = open_table(spark, config, BRONZE_LABELS).read().groupBy("_source_file").agg(F.count_if(F.col("_file_hash").isNotNull()).alias("n")).collect()
+    assert {r[0]: r[1] for r in hashed} == {"labelled_alternatives.json": 5, "labelled_alternatives_batch2.json": 0}
+    (config.raw_dir / "labelled_alternatives_bad.json").write_text("{")
+    with pytest.raises(Exception, match="labelled_alternatives_bad"):
+        p.ingest(spark, config, "b9")
+
+
+def test_publish_and_job(spark, tmp_path, capsys):
+    config = config_at(tmp_path)
+    s.put_base(config.raw_dir)
+    where = ["--raw-dir", str(config.raw_dir), "--lakehouse-dir", str(config.lakehouse_dir)]
+    assert cli.main(["job", *where]) == 1 and "done: nothing" in capsys.readouterr().out  # a quarter of the rows is rejected
+    assert cli.main(["job", "--fixtures", "--strict", *where]) == 1 and "done: build" in capsys.readouterr().out
+    assert cli.main(["job", "--fixtures", *where]) == 0 and "done: build, validate, maintain" in capsys.readouterr().out
+    shown = {r["tableName"] for r in publish(spark, config, "quarry").collect()}
+    assert {GOLD, REJECTED, BRONZE_LABELS} <= shown
+    assert spark.sql("SELECT count(*) FROM quarry.gold_scenarios").first()[0] == 13
+    spark.sql("DROP SCHEMA quarry CASCADE")

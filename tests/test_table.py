@@ -135,3 +135,26 @@ def test_failed_write_leaves_nothing(spark, tmp_path):
 def test_schema_merge(spark):
     a, b = spark.createDataFrame([], "a int").schema, spark.createDataFrame([], "b string, a int").schema
     assert merged_schema(a, b).names == ["a", "b"]
+
+
+def test_buckets_follow_rows(spark, tmp_path):
+    """A small table has one folder; one that has grown is dealt over more when it is written whole or compacted."""
+    t = VersionedTable(spark, str(tmp_path / "t"), "g", bucket_rows=100)
+    rows_ = lambda a, b: spark.range(a, b).select(F.col("id").alias("k"), F.col("id").cast("string").alias("g"), F.lit(0.0).alias("v"))
+    t.overwrite(rows_(0, 90))
+    assert t.manifest()["buckets"] == 1 and len(t.manifest()["folders"]) == 1
+    t.merge_scoped(rows_(90, 1500), ["k"], rows_(90, 1500).select("g"))
+    t.optimize(["g", "k"])
+    assert t.manifest()["buckets"] == 16 and len(t.manifest()["folders"]) == 16 and t.read().count() == 1500
+    t.merge_scoped(rows_(5, 6).withColumn("v", F.lit(9.0)), ["k"], rows_(5, 6).select("g"))
+    before, after = ({f["path"] for f in t.manifest(v)["folders"]} for v in (t.latest() - 1, t.latest()))
+    assert len(before & after) == 15 and t.added(t.latest()).count() < 300
+    assert [(r["k"], r["_change_type"]) for r in t.changes(t.latest() - 1, t.latest(), ["k"]).collect()] == [(5, "update_preimage"), (5, "update_postimage")]
+    t.overwrite(rows_(0, 400))
+    assert t.manifest()["buckets"] == 4 and rows(t.read()) == rows(rows_(0, 400))
+
+
+def test_one_scope_value_may_hold_most_rows(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"), "g", 4)
+    t.overwrite(spark.range(3000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("g"), F.lit(0.0).alias("v")))
+    assert t.read().filter("g = 'hot'").count() == 2000 and t.read().count() == 3000

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+import hashlib
 import json
 import re
 from pathlib import Path
@@ -10,7 +11,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.config import GateLimits, PipelineConfig, QualityThresholds
+from siltstone.config import FEATURES, LABELS, LIMITS, PipelineConfig, QualityThresholds
 from siltstone.functions import correlation, provenance
 from siltstone.operators import gate, unnest
 from siltstone.sources import files
@@ -26,17 +27,18 @@ IDS = {
 
 def test_classifier(spark):
     assert {i: provenance.classify_source_type(i) for i in IDS} == IDS
-    frame = provenance.with_source_type(spark.createDataFrame([(i,) for i in IDS], "scenario_id string"))
+    frame = spark.createDataFrame([(i,) for i in IDS], "scenario_id string").withColumn("source_type", provenance.CORRECTED())
     assert {r[0]: r[1] for r in frame.collect()} == IDS
     assert provenance.control_axis("control_archfinish_slump_299") == "archfinish_slump" and provenance.control_axis("expert_1") is None
+    assert set(provenance.TAXONOMIES) == {"naive", "corrected"}
 
 
-LABELS = "scenario_id string, id_prod string, pref double, conf double, source_type string"
-FEATURES = "scenario_id string, id_prod string, compressive_strength double, water_to_cement_ratio double, density double"
+LABEL_DDL = "scenario_id string, id_prod string, pref double, conf double, source_type string"
+FEATURE_DDL = "scenario_id string, id_prod string, compressive_strength double, water_to_cement_ratio double, density double"
 
 
 def reasons(spark, labels, features):
-    left, right = spark.createDataFrame(labels, LABELS), spark.createDataFrame(features, FEATURES)
+    left, right = spark.createDataFrame(labels, LABEL_DDL), spark.createDataFrame(features, FEATURE_DDL)
     from siltstone.operators.join import presence_join
 
     joined = presence_join(left, right, ["scenario_id", "id_prod"], "_has_label", "_has_feature")
@@ -61,19 +63,24 @@ def test_reasons(spark):
     assert reasons(spark, [], ok[1]) == [("s", "p", ("missing_label_row", "scenario_product_set_mismatch"))]
 
 
-def test_limits():
-    check = lambda passed, rejected, unknown=0, **limits: gate.enforce_gate_limits({"passed": passed, "rejected": rejected, "unknown": unknown}, GateLimits(**limits))
+def test_limits(spark):
+    def check(passed, rejected, unknown=0, **limits):
+        rows = passed + rejected
+        frame = spark.createDataFrame([(passed, rejected, unknown, rejected / rows if rows else None)], "passed_rows long, rejected_rows long, unknown_rows long, rejected_share double")
+        return gate.enforce(frame, LIMITS | limits)
+
     check(0, 0)
     check(99, 1)
     for bad in ((98, 2), (0, 1)):
-        with pytest.raises(gate.GateFailure):
+        with pytest.raises(gate.GateFailure, match="rejected_share"):
             check(*bad)
     with pytest.raises(gate.GateFailure):
-        check(10_000, 3, max_rejected_rows=2)
-    check(10_000, 2, max_rejected_rows=2)
-    with pytest.raises(gate.GateFailure):
+        check(10_000, 3, rejected_rows=2)
+    check(10_000, 2, rejected_rows=2)
+    with pytest.raises(gate.GateFailure, match="unknown_rows 1"):
         check(1000, 0, 1)
-    check(1000, 0, 1, fail_on_unknown_source_type=False)
+    check(1000, 0, 1, unknown_rows=None)
+    check(0, 5, 5, unknown_rows=None, rejected_share=None)
 
 
 def gold(spark, n, kind="a"):
@@ -81,30 +88,48 @@ def gold(spark, n, kind="a"):
 
 
 def test_correlations(spark):
-    checks = {(c.source_type, c.variable): c.verdict for c in correlation.correlations(gold(spark, 40).unionByName(gold(spark, 5, "b")))}
-    assert checks == {("a", "gwp"): "OK", ("a", "health"): "OK", ("a", "circ_orig"): "NO DATA", ("b", "gwp"): "TOO FEW", ("b", "health"): "TOO FEW", ("b", "circ_orig"): "NO DATA", ("ALL", "gwp"): "OK", ("ALL", "health"): "OK", ("ALL", "circ_orig"): "NO DATA"}
-    assert all(c.correlation is None for c in correlation.correlations(gold(spark, 1)))
-    wrong = correlation.correlations(gold(spark, 40).withColumn("gwp", -F.col("gwp")))
-    assert {c.variable for c in correlation.wrong_sign_checks(wrong)} == {"gwp"} and "WRONG SIGN" in correlation.format_summary(wrong)
-    assert correlation.CorrelationCheck("a", "v", 100, 0.04, "positive").verdict == "FLAT"
+    verdicts = lambda df: {(r["source_type"], r["variable"]): r["verdict"] for r in correlation.checks(df).collect()}
+    assert verdicts(gold(spark, 40).unionByName(gold(spark, 5, "b"))) == {("a", "gwp"): "OK", ("a", "health"): "OK", ("a", "circ_orig"): "NO DATA", ("b", "gwp"): "TOO FEW", ("b", "health"): "TOO FEW", ("b", "circ_orig"): "NO DATA", ("ALL", "gwp"): "OK", ("ALL", "health"): "OK", ("ALL", "circ_orig"): "NO DATA"}
+    assert all(r["correlation"] is None for r in correlation.checks(gold(spark, 1)).collect())
+    wrong = correlation.checks(gold(spark, 40).withColumn("gwp", -F.col("gwp")))
+    assert {r["variable"] for r in wrong.filter("verdict = 'WRONG SIGN'").collect()} == {"gwp"} and "WRONG SIGN" in correlation.report(wrong)
+    seen = spark.createDataFrame([(0.04, 100), (0.0, 100), (0.5, 29), (-0.5, 100), (None, 1)], "c double, n int").select(correlation.observed_column(F.col("c")), correlation.verdict_column(F.col("c"), F.col("n"), "positive"))
+    assert [tuple(r) for r in seen.collect()] == [("negligible", "FLAT"), ("negligible", "FLAT"), ("positive", "TOO FEW"), ("negative", "WRONG SIGN"), ("undefined", "NO DATA")]
+    axes = gold(spark, 40, "control_synthetic").withColumn("scenario_id", F.concat(F.lit("control_gwp_"), F.col("pref").cast("int")))
+    assert [(r["axis"], r["rows"], round(r["gwp"], 6), r["circ_orig"]) for r in correlation.by_axis(axes).collect()] == [("gwp", 40, -1.0, None)]
 
 
 def test_files(spark, tmp_path):
     config = PipelineConfig(raw_dir=tmp_path)
     with pytest.raises(FileNotFoundError):
-        config.label_files()
+        files.listed(spark, config, LABELS)
     for name in ("labelled_dataset.json", "labelled_alternatives_b.json", "frozen_dataset.json"):
-        (tmp_path / name).write_text("[]")
-    assert [p.name for p in config.label_files()] == ["labelled_alternatives_b.json", "labelled_dataset.json"] and config.resolve_label_file().name == "labelled_dataset.json" and config.resolve_feature_file()
-    found = files.describe_sources(config)
-    scanned = {r["source_file"]: (r["file_hash"], r["byte_size"]) for r in files.content_hashes(spark, [str(s.path) for s in found]).collect()}
-    assert scanned == {s.name: (s.content_hash, s.size) for s in found}
+        (tmp_path / name).write_text(f'[{{"id": "{name}"}}]')
+    assert [p.rsplit("/", 1)[1] for p in files.listed(spark, config, LABELS)] == ["labelled_alternatives_b.json", "labelled_dataset.json"]
+    assert files.first_release(spark, config, LABELS).endswith("/labelled_dataset.json") and files.first_release(spark, config, FEATURES)
+    (tmp_path / "labelled_dataset.json").rename(tmp_path / "other.json")
+    with pytest.raises(FileNotFoundError):
+        files.first_release(spark, config, LABELS)
+    (tmp_path / "other.json").rename(tmp_path / "labelled_dataset.json")
+    found = files.describe(spark, config)
+    assert [(f.kind, f.name) for f in found] == [(LABELS, "labelled_alternatives_b.json"), (LABELS, "labelled_dataset.json"), (FEATURES, "frozen_dataset.json")]
+    assert {f.digest for f in found} == {hashlib.sha256((tmp_path / f.name).read_bytes()).hexdigest() for f in found} == {files.stream_hash(spark, f.path) for f in found}
     log = files.empty_log(spark)
-    assert files.pending_sources(spark, found, log) == found
+    assert files.not_ingested(spark, found, log) == found
     log = log.union(files.log_rows(spark, found, "b1", {}))
-    assert files.pending_sources(spark, found, log) == []
-    old = [files.SourceFile(s.path, s.kind, "other", 1) for s in found[:1]]
-    assert files.pending_sources(spark, found, log.union(files.log_rows(spark, old, "b2", {}))) == found[:1]
+    assert files.not_ingested(spark, found, log) == []
+    old = [files.RawFile(f.kind, f.path, "other", 1) for f in found[:1]]
+    assert files.not_ingested(spark, found, log.union(files.log_rows(spark, old, "b2", {}))) == found[:1]
+
+
+def test_preflight(tmp_path):
+    from siltstone.session import preflight
+
+    assert preflight("posix") == [] and preflight("nt", "") == ["HADOOP_HOME is not set"] and len(preflight("nt", str(tmp_path))) == 2
+    (tmp_path / "bin").mkdir()
+    for name in ("winutils.exe", "hadoop.dll"):
+        (tmp_path / "bin" / name).touch()
+    assert preflight("nt", str(tmp_path)) == []
 
 
 def test_current_rows(spark):
@@ -147,4 +172,4 @@ def test_every_query_has_sql_or_a_reason():
     sys.path.insert(0, str(REPO))
     from siltstone.plans import catalog
 
-    assert set(catalog.ORACLES) <= set(catalog.QUERIES) and set(catalog.QUERIES) - set(catalog.ORACLES) == {"content_hash"}
+    assert set(catalog.ORACLES) <= set(catalog.QUERIES) and set(catalog.QUERIES) == set(catalog.ORACLES)
