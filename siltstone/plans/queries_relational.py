@@ -1,14 +1,14 @@
-"""Queries without tables of our own: projections, filters, joins, aggregates, windows, generators, gate, statistics."""
+"""Queries without tables of our own: ids, joins, aggregates, statistics, profiles."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from siltstone.functions import correlation, provenance
-from siltstone.operators import diff, gate, join, profile, unnest
+from siltstone.operators import diff, gate, join, profile
 from siltstone.plans.registry import Register, table
 from siltstone.sources.files import empty_log, pending
+from siltstone.store.table import match
 
 R = Register()
 QUERIES, ORACLES = R.queries, R.oracles
@@ -32,97 +32,17 @@ def ids(spark, d):
 
 @R.add("classify_ids", f"WITH {IDS} SELECT {CLASS_SQL} AS source_type, count(*) AS n FROM ids GROUP BY 1")
 def classify_ids(spark, d):
-    return provenance.with_source_type(ids(spark, d), "id").groupBy("source_type").agg(F.count(F.lit(1)).alias("n"))
+    return ids(spark, d).withColumn("source_type", provenance.CORRECTED("id")).groupBy("source_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @R.add("classify_ids_naive", rf"WITH {IDS} SELECT CASE WHEN regexp_matches(trim(id), '^control_(archfinish|cost|density|fwu|gwp|health|wdp)_\d+$') THEN 'control_synthetic' ELSE 'llm_generated' END AS source_type, count(*) AS n FROM ids GROUP BY 1")
 def classify_ids_naive(spark, d):
-    return provenance.with_source_type(ids(spark, d), "id", provenance.CLASSIFIERS["naive"]).groupBy("source_type").agg(F.count(F.lit(1)).alias("n"))
+    return ids(spark, d).withColumn("source_type", provenance.TAXONOMIES["naive"]("id")).groupBy("source_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @R.add("regexp_axis", rf"WITH {IDS} SELECT regexp_extract(trim(id), '^control_([a-z][a-z_]*[a-z])_\d+$', 1) AS axis, count(*) AS n FROM ids GROUP BY 1")
 def regexp_axis(spark, d):
-    return ids(spark, d).groupBy(provenance.control_axis_column("id").alias("axis")).agg(F.count(F.lit(1)).alias("n"))
-
-
-# ---- projections and filters
-
-
-def packed_orders(spark, d):
-    """Orders with their customer as structs in structs."""
-    customer = table(spark, d, "customer").select("c_custkey", F.struct("c_name", F.struct("c_nationkey", "c_acctbal").alias("where")).alias("c"))
-    return table(spark, d, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.struct("o_totalprice", "c").alias("o"))
-
-
-@R.add("project_struct_fields", "SELECT o_orderkey, o_totalprice AS total, c_name AS name FROM orders JOIN customer ON o_custkey = c_custkey")
-def project_struct_fields(spark, d):
-    return packed_orders(spark, d).select("o_orderkey", F.col("o.o_totalprice").alias("total"), F.col("o.c.c_name").alias("name"))
-
-
-@R.add("flatten_nested_struct", "SELECT o_orderkey, c_nationkey, c_acctbal FROM orders JOIN customer ON o_custkey = c_custkey")
-def flatten_nested_struct(spark, d):
-    return packed_orders(spark, d).select("o_orderkey", F.col("o.c.where.c_nationkey").alias("c_nationkey"), F.col("o.c.where.c_acctbal").alias("c_acctbal"))
-
-
-@R.add("provenance_columns", "SELECT n_nationkey, n_name, 'nation.parquet' AS _source_file, CAST(NULL AS VARCHAR) AS _file_hash, 'b1' AS _batch_id FROM nation")
-def provenance_columns(spark, d):
-    return table(spark, d, "nation").select("n_nationkey", "n_name", F.lit("nation.parquet").alias("_source_file"), F.lit(None).cast("string").alias("_file_hash"), F.lit("b1").alias("_batch_id"))
-
-
-@R.add("filter_isin", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus <> 'F'")
-def filter_isin(spark, d):
-    return table(spark, d, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.col("o_orderstatus") != "F")).select("o_orderkey", "o_orderpriority")
-
-
-@R.add("distinct_keys", "SELECT DISTINCT o_custkey FROM orders")
-def distinct_keys(spark, d):
-    return table(spark, d, "orders").select("o_custkey").distinct()
-
-
-@R.add("union_by_name", "SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance, NULL AS origin FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal, 'supplier' FROM supplier")
-def union_by_name(spark, d):
-    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
-    suppliers = table(spark, d, "supplier").select(F.lit("supplier").alias("origin"), F.col("s_acctbal").alias("balance"), F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"))
-    return customers.unionByName(suppliers, allowMissingColumns=True)
-
-
-@R.add("topk_rejected", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 1000 ORDER BY o_custkey, o_orderkey LIMIT 20")
-def topk_rejected(spark, d):
-    return table(spark, d, "orders").filter("o_totalprice > 1000").orderBy("o_custkey", "o_orderkey").limit(20).select("o_orderkey", "o_custkey", "o_totalprice")
-
-
-@R.add("topk_distinct", "SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'R' ORDER BY l_partkey LIMIT 10")
-def topk_distinct(spark, d):
-    return table(spark, d, "lineitem").filter("l_returnflag = 'R'").select("l_partkey").distinct().orderBy("l_partkey").limit(10)
-
-
-NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-
-
-@R.add("table_counts", " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n FROM {n}" for n in NAMES))
-def table_counts(spark, d):
-    out = None
-    for n in NAMES:
-        one = table(spark, d, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n")
-        out = one if out is None else out.union(one)
-    return out
-
-
-# ---- generators
-
-
-@R.add("posexplode_array", "SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, unnest(embedding) AS x FROM embeddings")
-def posexplode_array(spark, d):
-    return table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "x"))
-
-
-@R.add("posexplode_struct_array", "SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS ordinal, role, turn FROM conversations")
-def posexplode_struct_array(spark, d):
-    packed = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("turns"))
-    return packed.select("conv_id", F.posexplode("turns").alias("ordinal", "t")).select("conv_id", "ordinal", "t.role", "t.turn")
-
-
-# ---- joins
+    return ids(spark, d).groupBy(provenance.axis_column("id").alias("axis")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def shifted_labels(spark, d):
@@ -141,7 +61,7 @@ def full_outer_presence(spark, d):
 def null_safe_key_match(spark, d):
     a = table(spark, d, "customer").select("c_custkey", F.nullif("c_nationkey", F.lit(3)).alias("a"))
     b = table(spark, d, "supplier").select("s_suppkey", F.nullif("s_nationkey", F.lit(3)).alias("b"))
-    return a.join(b, F.col("a").eqNullSafe(F.col("b"))).select("c_custkey", "s_suppkey")
+    return a.join(b, match([a["a"]], [b["b"]])).select("c_custkey", "s_suppkey")
 
 
 @R.add("scope_semi_join", "SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 100000)")
@@ -180,11 +100,6 @@ def rollup_arrays_left_join(spark, d):
 # ---- aggregates and windows
 
 
-@R.add("group_count", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
-def group_count(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-
-
 @R.add("source_mix", 'SELECT event_type, count(*) AS "rows", count(DISTINCT user_id) AS "groups" FROM events GROUP BY 1')
 def source_mix(spark, d):
     return diff.source_mix(table(spark, d, "events"), "event_type", "user_id")
@@ -200,12 +115,6 @@ def group_corr(spark, d):
     return found.select("l_returnflag", F.col("rows").alias("n"), F.round("l_extendedprice", 6).alias("price"), F.round("l_tax", 6).alias("tax"))
 
 
-@R.add("group_corr_by_axis", f"SELECT regexp_extract(o_orderpriority, '^\\d-([A-Z]+)', 1) AS axis, count(*) AS n, round({CORR.format(a='o_totalprice', b='o_custkey')}, 6) AS c FROM orders WHERE o_orderstatus = 'O' GROUP BY 1")
-def group_corr_by_axis(spark, d):
-    rows = table(spark, d, "orders").filter("o_orderstatus = 'O'").withColumn("axis", F.regexp_extract("o_orderpriority", r"^\d-([A-Z]+)", 1))
-    return rows.groupBy("axis").agg(F.count(F.lit(1)).alias("n"), F.round(correlation.safe_corr("o_totalprice", "o_custkey"), 6).alias("c"))
-
-
 @R.add("safe_corr_zero_variance", f"SELECT l_linestatus, {CORR.format(a='l_quantity', b='k')} AS flat, round({CORR.format(a='l_quantity', b='l_discount')}, 6) AS discount FROM (SELECT *, 1.0 AS k FROM lineitem) GROUP BY 1")
 def safe_corr_zero_variance(spark, d):
     rows = table(spark, d, "lineitem").withColumn("k", F.lit(1.0))
@@ -219,80 +128,8 @@ def correlation_verdicts(spark, d):
     return found.select(F.col("l_returnflag").alias("source_type"), n.alias("n"), correlation.verdict_column(c, n, "positive").alias("verdict"), correlation.verdict_column(c, n, "negative").alias("reverse"))
 
 
-@R.add("latest_version_per_key", "SELECT event_id, user_id FROM (SELECT event_id, user_id, dense_rank() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE) DESC) AS r FROM events) WHERE r = 1")
-def latest_version_per_key(spark, d):
-    rows = table(spark, d, "events").select("event_id", "user_id", F.to_date("ts").alias("day"))
-    return unnest.latest_per(rows, "user_id", "day").select("event_id", "user_id")
-
-
-@R.add("duplicate_rows_window", "SELECT l_orderkey, l_linenumber, l_partkey, n FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem) WHERE n > 1")
-def duplicate_rows_window(spark, d):
-    n = F.count(F.lit(1)).over(Window.partitionBy("l_orderkey", "l_linenumber"))
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").withColumn("n", n).filter("n > 1")
-
-
 # ---- gate
 
-GATED = """
-joined AS (SELECT coalesce(d.doc_id, b.doc_id) AS doc_id, n_chars, quality, toxic, d.doc_id IS NOT NULL AS f, b.doc_id IS NOT NULL AS l,
-  count(*) OVER (PARTITION BY source, md5(text)) AS n FROM documents d FULL JOIN (SELECT doc_id + 5 AS doc_id, quality, toxic FROM labels) b ON d.doc_id = b.doc_id),
-gated AS (SELECT doc_id, list_sort(list_filter([CASE WHEN f AND n > 1 THEN 'duplicate' END, CASE WHEN NOT l THEN 'missing_label' END, CASE WHEN NOT f THEN 'missing_feature' END,
-  CASE WHEN n_chars NOT BETWEEN 200 AND 5000 THEN 'n_chars_out_of_range' END, CASE WHEN quality NOT BETWEEN 1 AND 1 THEN 'quality_out_of_range' END], lambda x: x IS NOT NULL)) AS r FROM joined)"""
-
-
-def gated(spark, d):
-    """Documents and labels as the two sides of the gate."""
-    docs = table(spark, d, "documents").select("doc_id", "n_chars", "source", F.md5("text").alias("item"))
-    rows = join.presence_join(docs, shifted_labels(spark, d), ["doc_id"], "f", "l")
-    n = F.count(F.lit(1)).over(Window.partitionBy("source", "item"))
-    rules = {"duplicate": F.col("f") & (F.col("n") > 1), "missing_label": ~F.col("l"), "missing_feature": ~F.col("f"), "n_chars_out_of_range": gate.outside("n_chars", 200, 5000), "quality_out_of_range": gate.outside("quality", 1, 1)}
-    return rows.withColumn("n", n).withColumn(gate.REASONS, gate.reasons_array(rules)).select("doc_id", gate.REASONS)
-
-
-@R.add("reasons_array", f"WITH {GATED} SELECT doc_id, array_to_string(r, '|') AS reasons FROM gated")
-def reasons_array(spark, d):
-    return gated(spark, d).select("doc_id", F.array_join(gate.REASONS, "|").alias("reasons"))
-
-
-@R.add("gate_passed", f"WITH {GATED} SELECT doc_id FROM gated WHERE len(r) = 0")
-def gate_passed(spark, d):
-    return gate.split_on_gate(gated(spark, d))[0]
-
-
-@R.add("gate_rejected", f"WITH {GATED} SELECT doc_id, array_to_string(r, '|') AS reasons FROM gated WHERE len(r) > 0")
-def gate_rejected(spark, d):
-    return gate.split_on_gate(gated(spark, d))[1].select("doc_id", F.array_join(gate.REASONS, "|").alias("reasons"))
-
-
-@R.add("gold_flagship", f"WITH {GATED} SELECT doc_id, array_to_string(r, '|') AS reasons, len(r) AS n_reasons FROM gated")
-def gold_flagship(spark, d):
-    return gated(spark, d).select("doc_id", F.array_join(gate.REASONS, "|").alias("reasons"), F.size(gate.REASONS).cast("long").alias("n_reasons"))
-
-
-@R.add("gate_summary", f"WITH {GATED} SELECT reason, count(*) AS count FROM (SELECT unnest(r) AS reason FROM gated) GROUP BY 1")
-def gate_summary(spark, d):
-    return gate.gate_summary(gate.split_on_gate(gated(spark, d))[1])
-
-
-@R.add("gate_fraction", f"WITH {GATED} SELECT count(*) FILTER (len(r) = 0) AS passed, count(*) FILTER (len(r) > 0) AS rejected, round(count(*) FILTER (len(r) > 0) / count(*), 6) AS fraction, count(*) FILTER (len(r) > 0) / count(*) > 0.01 AS fails FROM gated")
-def gate_fraction(spark, d):
-    counts = gated(spark, d).agg(F.count_if(F.size(gate.REASONS) == 0).alias("passed"), F.count_if(F.size(gate.REASONS) > 0).alias("rejected"))
-    share = F.col("rejected") / (F.col("passed") + F.col("rejected"))
-    return counts.select("passed", "rejected", F.round(share, 6).alias("fraction"), (share > 0.01).alias("fails"))
-
-
-@R.add("range_rules", "SELECT l_orderkey, l_linenumber, l_quantity NOT BETWEEN 5 AND 45 AS quantity_bad, l_discount NOT BETWEEN 0 AND 0.05 AS discount_bad FROM lineitem")
-def range_rules(spark, d):
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", gate.outside("l_quantity", 5, 45).alias("quantity_bad"), gate.outside("l_discount", 0, 0.05).alias("discount_bad"))
-
-
-@R.add("check_constraint_violations", "SELECT 'quantity' AS name, count(*) FILTER (NOT coalesce(nullif(l_quantity, 10) <= 49, true)) AS n FROM lineitem UNION ALL SELECT 'flag', count(*) FILTER (NOT coalesce(l_returnflag IN ('A', 'N'), true)) FROM lineitem")
-def check_constraint_violations(spark, d):
-    """A check that is null passes."""
-    checks = {"quantity": "nullif(l_quantity, 10) <= 49", "flag": "l_returnflag IN ('A', 'N')"}
-    found = table(spark, d, "lineitem").agg(*[F.count_if(~F.coalesce(F.expr(c), F.lit(True))).alias(n) for n, c in checks.items()])
-    return found.select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("n")) for n in checks])).alias("s")).select("s.*")
-
 
 # ---- profile
 

@@ -1,4 +1,4 @@
-"""Queries that write: versioned tables, change feed, JSON scans, content hashes, streaming.
+"""Queries that write: versioned tables, change feed, version diff, streaming.
 
 Tables of a query lie in the session's shared folder and are removed once the rows that come back are checkpointed.
 """
@@ -12,8 +12,8 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from siltstone.operators import diff
+from siltstone.plans.pipeline import changed_keys
 from siltstone.plans.registry import Register, table
-from siltstone.sources.files import content_hashes
 from siltstone.store.table import VersionedTable
 from siltstone.streaming.ingest import into_table, stream_files
 
@@ -142,8 +142,17 @@ def change_feed_rows(spark, d):
 @R.add("change_feed_keys", f"WITH {STATE}, {CHANGES} SELECT DISTINCT o_custkey FROM changes WHERE _change_type IN ('insert', 'update_postimage', 'delete')")
 def change_feed_keys(spark, d):
     with workspace(spark) as path:
-        rows = edited(spark, d, path).changes(0, 1, ["o_orderkey"])
-        return settled(rows.filter(F.col("_change_type").isin("insert", "update_postimage", "delete")).select("o_custkey").distinct())
+        return settled(changed_keys(edited(spark, d, path).changes(0, 1, ["o_orderkey"]), "o_custkey"))
+
+
+@R.add("union_by_name", "SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance, NULL AS origin FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal, 'supplier' FROM supplier")
+def union_by_name(spark, d):
+    """Rows appended by the names of their columns, in another order and with one more."""
+    with workspace(spark) as path:
+        t = VersionedTable(spark, f"{path}/t")
+        t.append(table(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")))
+        t.append(table(spark, d, "supplier").select(F.lit("supplier").alias("origin"), F.col("s_acctbal").alias("balance"), F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")))
+        return settled(t.read())
 
 
 DIFF = "moved AS (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, a.o_totalprice AS before, b.o_totalprice AS after, CASE WHEN a.o_orderkey IS NULL THEN 'added' WHEN b.o_orderkey IS NULL THEN 'removed' WHEN a.o_totalprice = b.o_totalprice THEN 'same' ELSE 'changed' END AS change FROM first a FULL JOIN second b ON a.o_orderkey = b.o_orderkey)"
@@ -164,34 +173,6 @@ def version_diff_counts(spark, d):
         return settled(diff.version_diff(t.read(0), t.read(1), ["o_orderkey"], "o_totalprice").groupBy("change").agg(F.count(F.lit(1)).alias("n")))
 
 
-@R.add("version_diff_transitions", f"WITH {STATE} SELECT a.o_orderstatus AS before, 'X' AS after, count(*) AS \"rows\", count(DISTINCT a.o_custkey) AS \"groups\" FROM first a WHERE a.o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 7) GROUP BY 1")
-def version_diff_transitions(spark, d):
-    with workspace(spark) as path:
-        t = VersionedTable(spark, f"{path}/t", "o_custkey", 4)
-        t.overwrite(orders(spark, d))
-        marked = orders(spark, d).join(customers_in_scope(spark, d), F.col("o_custkey") == F.col("c_custkey"), "left")
-        t.overwrite(marked.withColumn("o_orderstatus", F.when(F.col("c_custkey").isNotNull(), "X").otherwise(F.col("o_orderstatus"))).drop("c_custkey"))
-        rows = diff.version_diff(t.read(0), t.read(1), ["o_orderkey", "o_custkey"], "o_orderstatus")
-        return settled(diff.transitions(rows, "o_custkey"))
-
-
-@R.add("scan_json_nested", "SELECT o_orderkey AS id, CAST(n - 1 AS INTEGER) AS ordinal, l_partkey, l_quantity FROM (SELECT o_orderkey, l_partkey, l_quantity, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey)")
-def scan_json_nested(spark, d):
-    """Orders with their lines as nested JSON, read back by a pinned schema; quantities are whole numbers in the text."""
-    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"))).alias("lines"))
-    packed = table(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_orderkey").alias("id"), F.transform("lines", lambda x: F.struct(x["l_partkey"].alias("l_partkey"), x["l_quantity"].cast("long").alias("l_quantity"))).alias("lines"))
-    with workspace(spark) as path:
-        packed.write.json(path)
-        rows = spark.read.schema("id LONG, lines ARRAY<STRUCT<l_partkey: LONG, l_quantity: DOUBLE>>").option("mode", "PERMISSIVE").json(path)
-        return settled(rows.select("id", F.posexplode("lines").alias("ordinal", "l")).select("id", "ordinal", "l.*"))
-
-
-@R.add("content_hash", None)
-def content_hash(spark, d):
-    """Hashes of the input files; SQL has no view of files."""
-    return content_hashes(spark, [f"{d}/nation.parquet", f"{d}/region.parquet"])
-
-
 @R.add("stream_available_now", "SELECT event_id, user_id, event_type FROM events")
 def stream_available_now(spark, d):
     with workspace(spark) as path:
