@@ -6,8 +6,9 @@ of some texts are sorted, which is the depth-first order of their trie, and forw
 next word shares it. A piece wins by its score; of equal sums the longer last piece wins. Characters that no piece covers
 become their UTF-8 bytes' pieces. The model file is read here; its scores are used as those of a unigram model.
 
-Defined cases: a null or empty text has no ids and decodes to nothing. U+2581 in a text is a space, as in the library.
-Rows that repeat, or have no id, are encoded one by one. An empty table gives an empty result. Other columns are ignored.
+Defined cases: a null or empty text has no ids and decodes to nothing; a text of any length is encoded whole. U+2581 in a
+text is a space, as in the library. Rows that repeat, or have no id, are encoded one by one. An empty table gives an empty
+result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import table
+from siltstone.llm.common import table, tidy
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE = 400_000
+CACHE = 200_000
 TEXTS_AT_ONCE = 500
 
 
@@ -92,7 +93,12 @@ class Vocabulary:
         if any(MARK in p.lstrip(MARK) for p in self.scores):
             raise ValueError("a piece goes on after a mark inside")
         self.unknown_score = least - 10.0
-        self.longest = max(map(len, self.scores))
+        # By the last two characters of a piece, how long pieces with that end are, the longest first.
+        lengths: dict[str, set[int]] = {}
+        for p in self.scores:
+            if len(p) > 1:
+                lengths.setdefault(p[-2:], set()).add(len(p))
+        self.lengths = {end: sorted(found, reverse=True) for end, found in lengths.items()}
         # What each id decodes to, as bytes.
         self.letters = [bytes([int(p[3:5], 16)]) if k == BYTE else b" \xe2\x81\x87 " if k == UNKNOWN else b"" if k == CONTROL else p.replace(MARK, " ").encode() for p, k in zip(self.pieces, self.kinds, strict=True)]
 
@@ -124,7 +130,7 @@ def unmarked(text: str) -> list[str]:
 
 def segment(distinct: list[str], vocabulary: Vocabulary) -> dict[str, list[int]]:
     """Ids of each of the sorted words, by one walk through their trie."""
-    scores, longest, unknown = vocabulary.scores, vocabulary.longest, vocabulary.unknown_score
+    scores, lengths, unknown = vocabulary.scores, vocabulary.lengths, vocabulary.unknown_score
     best: list[float] = [0.0]
     back: list[tuple[int, int]] = [(0, 0)]  # start and piece of the last step; piece -1: bytes
     out: dict[str, list[int]] = {}
@@ -138,12 +144,12 @@ def segment(distinct: list[str], vocabulary: Vocabulary) -> dict[str, list[int]]
         del best[same + 1 :], back[same + 1 :]
         for end in range(same + 1, len(word) + 1):
             top, step = float("-inf"), (0, 0)
-            for start in range(max(0, end - longest), end):
-                piece = scores.get(word[start:end])
-                if piece is not None and best[start] + piece[0] > top:
-                    top, step = best[start] + piece[0], (start, piece[1])
-            if word[end - 1] not in scores and best[end - 1] + unknown > top:
-                top, step = best[end - 1] + unknown, (end - 1, -1)
+            for n in lengths.get(word[end - 2 : end], ()) if end > 1 else ():
+                if n <= end and (piece := scores.get(word[end - n : end])) is not None and best[end - n] + piece[0] > top:
+                    top, step = best[end - n] + piece[0], (end - n, piece[1])
+            score, one = scores.get(word[end - 1], (unknown, -1))
+            if best[end - 1] + score > top:
+                top, step = best[end - 1] + score, (end - 1, one)
             best.append(top)
             back.append(step)
         ids: list[int] = []
@@ -197,7 +203,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_column: str =
                 yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(back, type=pa.string())], schema=ENCODED)
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return rows.mapInArrow(tidy(run), "doc_id long, ids array<int>, decoded string")
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
