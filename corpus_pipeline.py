@@ -11,6 +11,12 @@ Each stage takes the documents that the one before has left, whole, and its deci
 5. packing: what is left is tokenised and packed into sequences of at most 2048 ids.
 
 All but the last return the columns of ``documents``. Rows without an id are never dropped as near copies.
+
+Defined cases, in each stage: null and empty texts are documents without words; they are kept unless they are exact copies of
+one another, and give the end id alone. Texts of any length are taken whole. Of rows that tie, with equal texts or sets, the
+smallest id stays; rows that repeat id and text are one document in stages 2 and 3. An empty table goes through all stages
+and gives no pieces; without labels nothing is toxic (every score is a quarter).
+Other columns are carried along.
 """
 
 from __future__ import annotations

@@ -5,6 +5,7 @@ Tables of a query lie in the session's shared folder and are removed once the ro
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -25,10 +26,13 @@ QUERIES, ORACLES = R.queries, R.oracles
 def workspace(spark):
     """A folder that all executors see, for the time of a query; results are to be kept by ``settled``."""
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None and not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    named = named or tempfile.mkdtemp(prefix="siltstone-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="siltstone-"))
-    path = f"{(named or context.getCheckpointDir()).rstrip('/')}/tables-{uuid.uuid4().hex}"
+        context.setCheckpointDir(named)
+    path = f"{named.rstrip('/')}/tables-{uuid.uuid4().hex}"
     try:
         yield path
     finally:

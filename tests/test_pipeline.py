@@ -215,7 +215,7 @@ def test_arrival_by_stream(spark, tmp_path):
     s.put(config.raw_dir, "labelled_alternatives.json", s.REVISED_LABELS)
     result = run_pipeline(spark, config)
     assert sorted(f.name for f in result.ingested) == ["frozen_dataset_batch2.json", "labelled_alternatives.json", "labelled_alternatives_batch2.json"]
-    assert (open_table(spark, config, GOLD).read().count(), open_table(spark, config, REJECTED).read().count()) == (25, 1)
+    assert (open_table(spark, config, GOLD).read().count(), open_table(spark, config, REJECTED).read().count()) == (20, 1)
     hashed = open_table(spark, config, BRONZE_LABELS).read().groupBy("_source_file").agg(F.count_if(F.col("_file_hash").isNotNull()).alias("n")).collect()
     assert {r[0]: r[1] for r in hashed} == {"labelled_alternatives.json": 5, "labelled_alternatives_batch2.json": 0}
     (config.raw_dir / "labelled_alternatives_bad.json").write_text("{")
