@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager, suppress
@@ -19,12 +20,16 @@ SPACES = "\\x20\\x09-\\x0D"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one is set only where the session names none."""
+    """The folder that driver and executors share; one is made only in local mode, where the session names none."""
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="siltstone-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="siltstone-"))
-    return (named or context.getCheckpointDir()).rstrip("/")
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -55,7 +60,6 @@ def tidy(run):
         finally:
             import pyarrow as pa
 
-            gc.collect()
             pa.default_memory_pool().release_unused()
             with suppress(OSError, AttributeError):  # not every C library has it
                 ctypes.CDLL(None).malloc_trim(0)
@@ -63,10 +67,54 @@ def tidy(run):
     return whole
 
 
+#: Checkpoint folders made inside the open ``steps`` blocks, innermost last.
+_steps: list[list[str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there; files go with the last reference."""
+    """Write ``df`` to the shared checkpoint folder and go on from there.
+
+    Inside a ``steps`` block the files go at its end, else with the last reference, if the session cleans checkpoints.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if _steps:
+        _steps[-1].append(_file(out))
+    return out
+
+
+def _file(written_down: DataFrame) -> str:
+    """The folder of a frame that ``cut`` gave."""
+    return written_down._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame that ``cut`` gave inside the open block and that nothing needs any more."""
+    path = _file(df)
+    if _steps and path in _steps[-1]:
+        _steps[-1].remove(path)
+        delete_path(df.sparkSession, path)
+
+
+@contextmanager
+def steps(spark: SparkSession):
+    """Delete what ``cut`` writes inside the block at its end. The block gets a function that writes a result down so that
+    it outlives the block; nothing else that is lazy may."""
+    mine: list[str] = []
+    _steps.append(mine)
+
+    def result(df: DataFrame) -> DataFrame:
+        out = cut(df)
+        outer = _steps[-2] if len(_steps) > 1 else []
+        outer.append(mine.pop())
+        return out
+
+    try:
+        yield result
+    finally:
+        _steps.remove(mine)
+        for path in mine:
+            delete_path(spark, path)
 
 
 def sweep(spark: SparkSession) -> None:
@@ -136,11 +184,14 @@ def sieve(rows: DataFrame, column: str, wanted: DataFrame, wanted_column: str) -
     return marked(rows, column, filter_words(wanted, wanted_column, bits), bits, "_maybe").filter("_maybe").drop("_maybe")
 
 
-def keep_ids(docs: DataFrame, ids: DataFrame, how: str, column: str = "doc_id", broadcast_rows: int = 200_000) -> DataFrame:
-    """Semi or anti join on an id; the ids are broadcast only where their counted number is at most ``broadcast_rows``."""
-    ids = ids.select(F.col(column).alias("_id"))
-    if ids.count() <= broadcast_rows:
-        ids = F.broadcast(ids)
+def light(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``df`` (narrow, and written down) to be broadcast where its rows, which are counted, are at most so many."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def keep_ids(docs: DataFrame, ids: DataFrame, how: str, column: str = "doc_id") -> DataFrame:
+    """Semi or anti join on an id."""
+    ids = light(ids.select(F.col(column).alias("_id")))
     return docs.join(ids, docs[column].eqNullSafe(ids["_id"]), how)
 
 

@@ -3,19 +3,23 @@ r"""Near-duplicate groups by a chosen-path similarity join over word shingles.
 1. Each text becomes its set of hashed shingles, minwise values of the set, and a digest of the set. Equal sets form a
    class; only classes are joined, so copies cost nothing further.
 2. Independent trees (as many as ``recall`` asks for) put each class into a node by one minwise token. Members of a node
-   of at most ``small`` are compared exhaustively by their minwise values; a larger node chooses more tokens, which no
-   other tree and no other level has, and branches again. Members of a node that is still large after ``depth`` levels share so many chosen tokens that all of them are
-   candidates of each other. What is found are candidate groups, as stars.
-3. Candidate groups are confirmed on full sets: every two members of a group are compared by exact intersection sizes;
-   groups of more than ``block`` members are compared block by block, so that no task holds more than two blocks. Each
-   comparison keeps a spanning forest of its links, and components of those are the result.
+   of at most ``small`` are compared exhaustively by their minwise values. In a larger one all are compared with its most
+   typical member: those that are like it are linked with it and need no comparison among each other. The rest is compared
+   with all, block by block, if it is of at most ten blocks. Else the node chooses more tokens, which no other tree and no
+   other level has, and branches; what can't be compared after ``depth`` levels shares so many chosen tokens that all of its
+   members are candidates of each other. What is found are candidate groups, as forests.
+3. Candidate groups are confirmed on full sets by exact intersection sizes: every two members of a group of at most
+   ``block``; in a larger one all with the most typical member, and then those that are not linked with it with all, so
+   that no task holds more than two blocks. Each comparison keeps a spanning forest of its links, and components of those
+   are the result.
 
 Two sets with similarity at the threshold are missed with a probability of at most 1 - ``recall`` by the trees, and of
 about 6e-8 by the comparison of minwise values, whose bound lies 5.3 standard deviations below the threshold.
 
-Defined cases: a null or empty text has no set and is linked with nothing. A text of fewer words than a shingle is one
-shingle. Rows without an id take part in nothing: their component is null and they are kept. Rows that repeat an id are
-documents of their own, with that id. An empty table gives an empty result. Other columns are ignored.
+Defined cases: a null or empty text has no set and is linked with nothing; a text of any length is taken whole. A text of
+fewer words than a shingle is one shingle. Rows without an id take part in nothing: their component is null and they are
+kept. Rows that repeat an id are documents of their own, with that id. Of equal sets, and of a component, the smallest id
+stands for all (ties). An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut, sieve, sweep, table
+from siltstone.llm.common import cut, discard, light, sieve, steps, sweep, table, tidy
 from siltstone.llm.components import components, forest
 from siltstone.llm.words import chunks, mix
 
 #: Minwise values for comparison (16 bits each), of which the first TOKENS are kept with 32 bits to name nodes.
 VALUES, TOKENS = 128, 72
 BRANCHES = 2
+#: In a large node, what is not like its typical member is compared with all members if it is of at most so many blocks.
+REST = 10
 
 _rng = np.random.default_rng(64)
 _XOR = _rng.integers(0, 2**64, VALUES, dtype=np.uint64)[:, None]
@@ -83,7 +89,7 @@ def sketches(docs: DataFrame, k: int, id_column: str, text_column: str) -> DataF
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[i] for x in out], SKETCH.types[i + 1]) for i in range(4))], schema=SKETCH)
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, set binary, mins binary, tokens binary")
+    return rows.mapInArrow(tidy(run), "doc_id long, n long, set binary, mins binary, tokens binary")
 
 
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -144,11 +150,11 @@ def _compare(least: int, num: int, den: int):
 
 
 def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The most typical member of each group (group, blocks, cls, n, mins), whose rows come together: the one that agrees
-    most with the values that most of them have. Which one it is bears on the work only, never on the result."""
+    """The most typical row of each group (grp, mins, ...), whose rows come together: the one that agrees most with the
+    minwise values that most of them have. Which one it is bears on the work only, never on the result."""
 
     def best(rows: list[tuple]) -> tuple:
-        mins = np.array([np.frombuffer(r[4], dtype=np.uint16) for r in rows])
+        mins = np.array([np.frombuffer(r[1], dtype=np.uint16) for r in rows])
         usual = np.zeros(VALUES, dtype=np.uint16)
         for i in range(VALUES):
             values, counts = np.unique(mins[:, i], return_counts=True)
@@ -156,30 +162,27 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return rows[int((mins == usual).sum(axis=1).argmax())]
 
     held: list[tuple] = []
-    chosen: list[tuple] = []
     for batch in batches:
+        chosen: list[tuple] = []
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if held and held[0][0] != row[0]:
                 chosen.append(best(held))
                 held = []
             held.append(row)
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in chosen], t) for i, t in enumerate(batch.schema.types)], schema=batch.schema)
     if held:
-        chosen.append(best(held))
-    if chosen:
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in chosen], t) for i, t in enumerate(PICKED.types)], schema=PICKED)
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(best(held), batch.schema.types, strict=True)], schema=batch.schema)
 
 
-PICKED = pa.schema([("grp", pa.int64()), ("blocks", pa.int32()), ("cls", pa.int64()), ("n", pa.int64()), ("mins", pa.binary())])
-
-
-def pivots(members: DataFrame) -> DataFrame:
-    """A typical member (grp, blocks, cls, n, mins) of each group, looked for in the block that ``first`` is in."""
+def pivots(members: DataFrame, *carry: str) -> DataFrame:
+    """A typical member (grp, mins, blocks, cls, carried columns) of each group, looked for in the block that ``first`` is in."""
     near = members.filter(F.pmod(F.xxhash64("cls"), F.col("blocks")) == F.pmod(F.xxhash64("first"), F.col("blocks")))
-    near = near.select("grp", "blocks", "cls", "n", "mins")
-    return near.repartition("grp").sortWithinPartitions("grp", "cls").mapInArrow(_pick, "grp long, blocks int, cls long, n long, mins binary")
+    near = near.select("grp", "mins", "blocks", "cls", *carry)
+    return near.repartition("grp").sortWithinPartitions("grp", "cls").mapInArrow(tidy(_pick), near.schema)
 
 
-ANSWERS = pa.schema([("grp", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+ANSWERS = pa.schema([("grp", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("mins", pa.binary())])
+ANSWERS_DDL = "grp long, a long, b long, n long, mins binary"
 
 
 def _answers(rows: list[tuple]) -> pa.RecordBatch:
@@ -188,7 +191,7 @@ def _answers(rows: list[tuple]) -> pa.RecordBatch:
 
 def _against(least: int, num: int, den: int, rest: bool):
     """Members (kind 1) of a task against its first rows (kind 0), by minwise values: links (grp, a, b) as a forest; with
-    ``rest``, (grp, a, null) for members that are linked with none."""
+    ``rest``, (grp, a, null, n, mins) for members that are linked with none."""
 
     def found(first: list[tuple], members: list[tuple]) -> list[tuple]:
         ids = np.array([r[3] for r in first + members])
@@ -200,18 +203,20 @@ def _against(least: int, num: int, den: int, rest: bool):
             ends.append((np.flatnonzero(alike) + len(first), i))
         b = np.concatenate([e for e, _ in ends])
         a = np.repeat([i for _, i in ends], [len(e) for e, _ in ends])
-        return _labels(ids, [r[1] for r in first + members], a, b, len(first), rest)
+        return _labels(ids, first + members, a, b, len(first) if rest else 0, True)
 
     return _by_task(found)
 
 
-def _labels(ids: np.ndarray, groups: list[int], a: np.ndarray, b: np.ndarray, first: int, rest: bool) -> list[tuple]:
+def _labels(ids: np.ndarray, rows: list[tuple], a: np.ndarray, b: np.ndarray, first: int, carry: bool) -> list[tuple]:
+    """Links of rows (task, grp, kind, cls, ...) as a forest, and those behind the ``first`` that are linked with none."""
     label = forest(a, b, len(ids))
-    out = [(groups[i], int(ids[i]), int(ids[label[i]])) for i in np.flatnonzero(ids != ids[label]).tolist()]
-    if rest:
+    out = [(rows[i][1], int(ids[i]), int(ids[label[i]]), None, None) for i in np.flatnonzero(ids != ids[label]).tolist()]
+    if first:
         linked = np.zeros(len(ids), dtype=bool)
         linked[b] = True
-        out += [(groups[i], int(ids[i]), None) for i in (np.flatnonzero(~linked[first:]) + first).tolist() if ids[i] not in ids[:first]]
+        alone = [i for i in (np.flatnonzero(~linked[first:]) + first).tolist() if ids[i] not in ids[:first]]
+        out += [(rows[i][1], int(ids[i]), None, *(rows[i][4:6] if carry else (None, None))) for i in alone]
     return out
 
 
@@ -252,24 +257,22 @@ def _large_nodes(members: DataFrame, least: int, num: int, den: int, small: int)
     """Links of large nodes, and the nodes (``many``) whose pairs are not all compared by them.
 
     All members are compared with the node's typical one. Those that are like it are linked, so that no two of them need a
-    comparison; the rest, if it is of at most ``small``, is compared with all.
+    comparison; the rest, if it is of at most ``REST`` blocks, is compared with all.
     """
-    run = lambda rows, rest: rows.repartition("task").sortWithinPartitions("task", "kind", "cls").mapInArrow(_against(least, num, den, rest), "grp long, a long, b long")
-    columns = ("grp", "kind", "cls", "n", "mins")
-    ours = members.select(F.xxhash64("grp", _own()).alias("task"), "grp", F.lit(1).alias("kind"), "cls", "n", "mins")
-    one = pivots(members).withColumn("block", F.explode(_all("blocks"))).withColumn("kind", F.lit(0))
-    marks = cut(run(ours.unionByName(one.select(F.xxhash64("grp", "block").alias("task"), *columns)), True))
-    left = marks.filter("b IS NULL").select(F.col("grp").alias("g"), F.col("a").alias("c"))
-    counts = cut(left.groupBy("g").agg(F.count(F.lit(1)).alias("others")))
-    few, many = counts.filter(F.col("others") <= small).select("g"), counts.filter(F.col("others") > small).select("g")
-    links = marks.filter("b IS NOT NULL").select("a", "b")
-    if not few.isEmpty():
-        inside = members.join(few, F.col("grp") == F.col("g"), "left_semi")
-        rest = inside.join(left, (F.col("grp") == F.col("g")) & (F.col("cls") == F.col("c")), "left_semi")
-        rest = rest.withColumn("block", F.explode(_all("blocks"))).withColumn("kind", F.lit(0)).select(F.xxhash64("grp", "block").alias("task"), *columns)
-        ours = inside.select(F.xxhash64("grp", _own()).alias("task"), "grp", F.lit(1).alias("kind"), "cls", "n", "mins")
-        links = links.unionByName(run(ours.unionByName(rest), False).select("a", "b"))
-    return links, many
+    run = lambda rows, rest: rows.repartition("task").sortWithinPartitions("task", "kind", "cls").mapInArrow(tidy(_against(least, num, den, rest)), ANSWERS_DDL)
+    columns = (F.xxhash64("grp", "block").alias("task"), "grp", "kind", "cls", "n", "mins")
+    ours = members.withColumn("block", _own()).withColumn("kind", F.lit(1)).select(*columns)
+    one = cut(pivots(members, "n"))
+    marks = cut(run(ours.unionByName(one.withColumn("block", F.explode(_all("blocks"))).withColumn("kind", F.lit(0)).select(*columns)), True))
+    left = marks.filter("b IS NULL")
+    # A row for each large node at most.
+    counts = left.groupBy(F.col("grp").alias("g")).agg(F.count(F.lit(1)).alias("others")).join(light(one.select("grp", "blocks")), F.col("g") == F.col("grp")).select("g", "others", "blocks")
+    counts = light(cut(counts))
+    few = counts.filter(F.col("others") <= REST * small)
+    inside = members.withColumn("block", _own()).withColumn("kind", F.lit(1)).join(few, F.col("grp") == F.col("g"), "left_semi").select(*columns)
+    rest = left.join(few, F.col("grp") == F.col("g")).withColumn("block", F.explode(_all("blocks"))).withColumn("kind", F.lit(0)).withColumn("cls", F.col("a")).select(*columns)
+    links = marks.filter("b IS NOT NULL").select("a", "b").unionByName(run(inside.unionByName(rest), False).select("a", "b"))
+    return links, counts.filter(F.col("others") > REST * small).select("g")
 
 
 def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int, depth: int) -> DataFrame:
@@ -294,7 +297,7 @@ def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int
         counts = cut(counts.groupBy("members", "first", "x", "y", own.alias("own")).agg(F.min("node").alias("key")).select("key", "members", "first"))
         shared = cut(nodes.join(counts, F.col("node") == F.col("key")).select("node", "tree", "cls", "members", "first"))
         rows = shared.filter(F.col("members") <= small).join(inner, F.col("cls") == F.col("c")).select("node", "cls", "n", "mins")
-        part = rows.repartition("node").sortWithinPartitions("node", "cls").mapInArrow(_compare(least, num, den), "a long, b long")
+        part = rows.repartition("node").sortWithinPartitions("node", "cls").mapInArrow(tidy(_compare(least, num, den)), "a long, b long")
         large = shared.filter(F.col("members") > small)
         over = None
         if not large.isEmpty():
@@ -303,7 +306,7 @@ def candidates(classes: DataFrame, num: int, den: int, recall: float, small: int
             found, many = _large_nodes(more, least, num, den, small)
             part = part.unionByName(found)
             if not many.isEmpty():
-                over = more.join(many, F.col("grp") == F.col("g"), "left_semi")
+                over = cut(more.join(many, F.col("grp") == F.col("g"), "left_semi"))
                 if level == depth - 1:
                     # Their members share ``depth`` chosen tokens: all are candidates.
                     part = part.unionByName(over.filter("cls != first").select(F.col("cls").alias("a"), F.col("first").alias("b")))
@@ -342,7 +345,7 @@ def _confirm(num: int, den: int, rest: bool):
         union = sizes[low_rows, None] + sizes[None, :] - common
         i, j = np.nonzero(den * common.astype(np.int64) >= num * union)
         keep = i != j
-        return _labels(np.array([r[3] for r in rows]), [r[1] for r in rows], i[keep], j[keep], len(first), rest and bool(first))
+        return _labels(np.array([r[3] for r in rows]), rows, i[keep], j[keep], len(first) if rest else 0, False)
 
     return _by_task(found)
 
@@ -375,32 +378,32 @@ def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, k: int, nu
         """``wanted`` (cls, rep, set, grp, tasks): sets are made once for each row and sent to its tasks."""
         wanted = cut(wanted)
         rows = sieve(texts, "text_id", wanted, "rep").join(wanted, F.col("text_id") == F.col("rep")).select("cls", "grp", "tasks", "set", "text")
-        full = rows.mapInArrow(_full_sets(k), f"cls long, grp long, tasks {kind}, shingles binary")
+        full = rows.mapInArrow(tidy(_full_sets(k)), f"cls long, grp long, tasks {kind}, shingles binary")
         dealt = full.select("cls", "grp", F.explode("tasks").alias("t"), "shingles").select("t.task", "grp", "t.kind", "cls", "shingles")
         # One document may have several rows, and a class may come twice: that adds nothing.
-        return cut(dealt.repartition("task").sortWithinPartitions("task", "kind", "cls").mapInArrow(_confirm(num, den, rest), "grp long, a long, b long"))
+        return cut(dealt.repartition("task").sortWithinPartitions("task", "kind", "cls").mapInArrow(tidy(_confirm(num, den, rest)), ANSWERS_DDL))
 
     roots = groups.select("root").distinct().select(F.col("root").alias("node"), "root")
     members = cut(groups.unionByName(roots))
-    sizes = cut(members.groupBy("root").agg(F.count(F.lit(1)).alias("size")).select(F.col("root").alias("r"), F.ceil(F.col("size") / block).cast("int").alias("blocks")))
+    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > block)
+    sizes = light(cut(sizes.select(F.col("root").alias("r"), F.ceil(F.col("size") / block).cast("int").alias("parts"))))
+    named = members.join(sizes, F.col("root") == F.col("r"), "left").withColumn("blocks", F.coalesce("parts", F.lit(1)))
     mins = F.when(F.col("blocks") > 1, F.col("mins")).alias("mins")
-    named = members.join(sizes, F.col("root") == F.col("r")).join(classes, F.col("node") == F.col("cls"))
-    named = cut(named.select("cls", F.col("root").alias("grp"), "blocks", "rep", "set", "n", mins))
+    named = cut(classes.join(light(cut(named)), F.col("node") == F.col("cls")).select("cls", F.col("root").alias("grp"), "blocks", "rep", "set", "n", mins))
     large = named.filter("blocks > 1")
     task = lambda block, kind: F.struct(F.xxhash64("grp", block).alias("task"), F.lit(kind).alias("kind"))
     first = F.when(F.col("blocks") > 1, F.array(task(_own(), 1))).otherwise(F.array(F.struct(F.xxhash64("grp").alias("task"), F.lit(2).alias("kind"))))
     wanted = named.select("cls", "rep", "set", "grp", first.alias("tasks"))
     some = not large.isEmpty()
     if some:
-        typical = pivots(large.withColumn("first", F.col("grp"))).select("grp", "blocks", F.col("cls").alias("c"))
-        typical = typical.join(classes, F.col("c") == F.col("cls")).select("cls", "rep", "set", "grp", F.transform(_all("blocks"), lambda b: task(b, 0)).alias("tasks"))
-        wanted = wanted.unionByName(typical)
+        typical = pivots(large.withColumn("first", F.col("grp")), "rep", "set")
+        wanted = wanted.unionByName(typical.select("cls", "rep", "set", "grp", F.transform(_all("blocks"), lambda b: task(b, 0)).alias("tasks")))
     found = compared(wanted, True)
     links = found.filter("b IS NOT NULL").select("a", "b")
     rest = found.filter("b IS NULL").select(F.col("grp").alias("g"), F.col("a").alias("c"))
     if not some or rest.isEmpty():
         return links
-    counts = cut(rest.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("others")).withColumnRenamed("g", "of"))
+    counts = light(cut(rest.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("others")).withColumnRenamed("g", "of")))
     again = large.join(counts, F.col("grp") == F.col("of")).join(rest, (F.col("grp") == F.col("g")) & (F.col("cls") == F.col("c")), "left")
     pair = lambda block, other, kind: F.struct(F.xxhash64("grp", block, other).alias("task"), F.lit(kind).alias("kind"))
     all_ = F.transform(_all("others"), lambda o: pair(_own(), o, 1))
@@ -412,28 +415,27 @@ def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, k: int, nu
 def near_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, recall: float = 1 - 1e-7, small: int = 1024, depth: int = 3, block: int = 256, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row; sets with den * common >= num * union are linked."""
     spark = docs.sparkSession
-    sketched = cut(sketches(docs, k, id_column, text_column).withColumn("uid", F.monotonically_increasing_id()))
-    named = sketched.filter("n > 0 AND doc_id IS NOT NULL")
-    of = named.groupBy("set").agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "uid")).alias("m")).select("set", "rep", F.col("m.uid").alias("cls"))
-    classes = cut(of.join(named.select("uid", "n", "mins", "tokens"), F.col("cls") == F.col("uid")).select("cls", "rep", "set", "n", "mins", "tokens"))
-    rows = cut(sketched.select("doc_id", "n", "set"))
-    del sketched, named, of
-    sweep(spark)
-    groups = components(candidates(classes, num, den, recall, small, depth))
-    links = cut(confirmed(docs, classes, groups, k, num, den, block, id_column, text_column))
-    sweep(spark)
-    found = components(links)
-    reps = classes.select("cls", "rep")
-    # The smallest id of a component: over its root's class and the classes that hang on it.
-    whole = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
-    ids = whole.join(reps, F.col("node") == F.col("cls")).select("node", "root", "rep")
-    least = ids.groupBy("root").agg(F.min("rep").alias("component")).select(F.col("root").alias("r"), "component")
-    of_class = cut(ids.join(least, F.col("root") == F.col("r")).select("node", "component"))
-    by_set = classes.select(F.col("cls"), F.col("set").alias("s"), "rep").join(of_class, F.col("cls") == F.col("node"), "left").select("s", F.coalesce("component", "rep").alias("component"))
-    joined = rows.join(by_set, rows["set"] == by_set["s"], "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")))
-    out = joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    with steps(spark) as result:
+        sketched = cut(sketches(docs, k, id_column, text_column).withColumn("uid", F.monotonically_increasing_id()))
+        named = sketched.filter("n > 0 AND doc_id IS NOT NULL")
+        one = F.min_by(F.struct("uid", "n", "mins", "tokens"), F.struct("doc_id", "uid")).alias("m")
+        classes = cut(named.groupBy("set").agg(F.min("doc_id").alias("rep"), one).select(F.col("m.uid").alias("cls"), "rep", "set", "m.n", "m.mins", "m.tokens"))
+        rows = cut(sketched.select("doc_id", "n", "set"))
+        discard(sketched)
+        groups = components(candidates(classes, num, den, recall, small, depth))
+        links = confirmed(docs, classes, groups, k, num, den, block, id_column, text_column)
+        sweep(spark)
+        found = components(links)
+        # The smallest id of a component: over its root's class and the classes that hang on it.
+        whole = light(cut(found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())))
+        ids = cut(classes.select("cls", "rep").join(whole, F.col("node") == F.col("cls")).select("node", "root", "rep"))
+        least = light(cut(ids.groupBy("root").agg(F.min("rep").alias("component")).select(F.col("root").alias("r"), "component")))
+        of_class = light(cut(ids.join(least, F.col("root") == F.col("r")).select("node", "component")))
+        by_set = classes.select("cls", F.col("set").alias("s"), "rep").join(of_class, F.col("cls") == F.col("node"), "left").select("s", F.coalesce("component", "rep").alias("component"))
+        joined = rows.join(by_set, rows["set"] == by_set["s"], "left")
+        component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")))
+        out = joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+        return result(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

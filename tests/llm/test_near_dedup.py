@@ -91,6 +91,39 @@ def test_one_template(spark):
     assert len(set(found.values())) == 800
 
 
+def test_large_group(spark):
+    """3,000 near copies of a text, some of them near to it and some to others only, in nodes of far more than 1,024."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base = [rng.choice(vocabulary) for _ in range(60)]
+    texts = [(0, " ".join(base))]
+    for n in range(1, 3000):
+        words = list(base) if n % 7 else texts[rng.randrange(len(texts))][1].split(" ")
+        for _ in range(rng.choice([1, 1, 1, 2, 3, 4])):
+            words[rng.randrange(60)] = rng.choice(vocabulary)
+        texts.append((n, " ".join(words)))
+    rng.shuffle(texts)
+    expected = by_hand(texts, 3, 85, 100)
+    largest = Counter(c for (_, _, c, _), _ in expected.items()).most_common(1)[0][1]
+    assert 1000 < largest < 3000
+    for options in ({}, {"small": 64, "block": 32}):
+        assert Counter(tuple(r) for r in near_dedup.near_groups(frame(spark, texts), k=3, num=85, **options).collect()) == expected
+
+
+def test_recall_in_large_nodes(spark):
+    """1,500 planted pairs at the threshold, all of one template, so that nodes of its tokens have up to 3,000 members."""
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    template, texts = words(404), []
+    for n in range(1500):
+        shared = words(24)
+        texts += [(2 * n + i, " ".join(template + shared + words(52))) for i in (0, 1)]
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(frame(spark, texts), k=5, num=80).collect()}
+    caught = sum(found[2 * n] == found[2 * n + 1] for n in range(1500))
+    print(caught, "of 1500")
+    assert caught >= 0.99 * 1500
+
+
 def test_nothing(spark):
     assert near_dedup.near_groups(frame(spark, [])).count() == 0
 
