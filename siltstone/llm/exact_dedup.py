@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import ascii_lower, cut, delete_path, filter_bits, filter_words, marked, scratch, sieve, table
+from siltstone.llm.common import ascii_lower, cut, delete_path, filter_bits, filter_words, marked, scratch, sieve, steps, table
 
 
 def normal(text: Column) -> Column:
@@ -153,19 +153,20 @@ def exact_groups(docs: DataFrame, keep: str = "smallest", id_column: str = "doc_
     if keep not in ("smallest", "largest"):
         raise ValueError("keep is 'smallest' or 'largest'")
     spark = docs.sparkSession
-    with scratch(spark, "digest-index") as path:
-        index = DigestIndex(spark, path, digest_bytes, memtable_rows, fanout)
-        index.flush(docs, id_column, text_column)
-        index.compact()
-        answer = cut(index.resolve(keep))
-    split = cut(_split_digests(docs, answer.filter("group_size > 1"), digest_bytes, id_column, text_column))
-    if not split.isEmpty():
-        answer = cut(_separate(docs, answer, split, keep, id_column, text_column))
-    return answer.select(
-        F.col("id").alias("doc_id"), "keep_id", "group_size",
-        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"),
-    )
+    with steps(spark) as result:
+        with scratch(spark, "digest-index") as path:
+            index = DigestIndex(spark, path, digest_bytes, memtable_rows, fanout)
+            index.flush(docs, id_column, text_column)
+            index.compact()
+            answer = cut(index.resolve(keep))
+        split = cut(_split_digests(docs, answer.filter("group_size > 1"), digest_bytes, id_column, text_column))
+        if not split.isEmpty():
+            answer = _separate(docs, answer, split, keep, id_column, text_column)
+        return result(answer.select(
+            F.col("id").alias("doc_id"), "keep_id", "group_size",
+            F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
+            F.lower(F.hex("sha")).alias("text_sha256"),
+        ))
 
 
 def _separate(docs: DataFrame, answer: DataFrame, split: DataFrame, keep: str, id_column: str, text_column: str) -> DataFrame:

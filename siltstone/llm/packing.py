@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut, dense_rank_in, table
+from siltstone.llm.common import cut, dense_rank_in, steps, table, tidy
 
 WINDOW = 2048
 END_ID = 1
@@ -140,7 +140,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, ranks_path: str | None = None,
                 yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(zip(*out, strict=True), PIECES.types, strict=True)], schema=PIECES)
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    return rows.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return rows.mapInArrow(tidy(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 # ---- the plan, on the driver; its size depends on the window only
@@ -233,17 +233,18 @@ def placements(steps: list[tuple[tuple[int, ...], int]], first_sequence: int) ->
 def pack(docs: DataFrame, window: int = WINDOW, ranks_path: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Pieces of all documents with the sequence and offset that each has."""
     spark = docs.sparkSession
-    cuts = cut(pieces(docs, window, ranks_path, id_column, text_column))
-    counts = {r["length"]: r["n"] for r in cuts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    whole = counts.pop(window, 0)
-    rows = placements(plan(counts, window), whole)
-    if whole:
-        rows.append((window, 0, whole, 0, 0))
-    places = spark.createDataFrame(rows, "at_length long, low long, high long, base long, offset long")
-    ranked = dense_rank_in(cuts, ["length"], F.struct("doc_id", "start", "ids_crc32"), whole + sum(counts.values()), "rank")
-    on = (ranked["length"] == places["at_length"]) & (ranked["rank"] >= places["low"]) & (ranked["rank"] < places["high"])
-    joined = ranked.join(F.broadcast(places), on)
-    return joined.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("rank") - F.col("low")).alias("sequence_id"), "offset")
+    with steps(spark) as result:
+        cuts = cut(pieces(docs, window, ranks_path, id_column, text_column))
+        counts = {r["length"]: r["n"] for r in cuts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+        whole = counts.pop(window, 0)
+        rows = placements(plan(counts, window), whole)
+        if whole:
+            rows.append((window, 0, whole, 0, 0))
+        places = spark.createDataFrame(rows, "at_length long, low long, high long, base long, offset long")
+        ranked = dense_rank_in(cuts, ["length"], F.struct("doc_id", "start", "ids_crc32"), whole + sum(counts.values()), "rank")
+        on = (ranked["length"] == places["at_length"]) & (ranked["rank"] >= places["low"]) & (ranked["rank"] < places["high"])
+        joined = ranked.join(F.broadcast(places), on)
+        return result(joined.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("base") + F.col("rank") - F.col("low")).alias("sequence_id"), "offset"))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

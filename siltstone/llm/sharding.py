@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut, dense_rank_in, table
+from siltstone.llm.common import cut, dense_rank_in, steps, table
 
 
 #: A group's nodes hang on so many hubs at most, which hang on the group's first: no node has all links of a large group.
@@ -150,10 +150,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards under the law ``rows``; equal texts are links."""
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
-    nodes = cut(docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-        F.unhex(F.sha2(text, 256)).alias("digest"), F.monotonically_increasing_id().alias("node"),
-    ))
-    sharded = cut(balance(nodes.select("node", "doc_id", "size", "text_crc32"), star_links(nodes, "digest")))
-    slots = dense_rank_in(sharded, ["shard"], F.col("node"), sharded.count(), "slot")
-    return slots.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"))
+    with steps(spark) as result:
+        nodes = cut(docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+            F.unhex(F.sha2(text, 256)).alias("digest"), F.monotonically_increasing_id().alias("node"),
+        ))
+        sharded = cut(balance(nodes.select("node", "doc_id", "size", "text_crc32"), star_links(nodes, "digest")))
+        slots = dense_rank_in(sharded, ["shard"], F.col("node"), sharded.count(), "slot")
+        return result(slots.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard")))

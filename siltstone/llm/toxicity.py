@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut, table
+from siltstone.llm.common import cut, steps, table, tidy
 
 SLOTS = 1 << 18
 PREFIXES = (4, 5, 6)
@@ -123,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 4000, least: float =
     usable = labels.select(labels[id_column].cast("long").alias("label_id"), labels[label_column].cast("int").alias("y")).filter("label_id IS NOT NULL AND y IS NOT NULL")
     usable = usable.filter(~held_out(F.col("label_id"))).groupBy("label_id").agg(F.max("y").alias("y"))
     ones, all_ = usable.agg(F.coalesce(F.sum("y"), F.lit(0)), F.count(F.lit(1))).first()
-    share = (ones + 0.5) / (all_ + 1)
+    share = (ones + 0.5) / (all_ + 2)  # a quarter without labels
     parts = [usable.filter(F.col("y") == y).orderBy(F.xxhash64("label_id"), "label_id").limit(sample) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
 
@@ -131,28 +131,29 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 4000, least: float =
     def slots(texts: pd.Series) -> pd.Series:
         return pd.Series([document_slots(t) for t in texts], dtype=object)
 
-    # At most 2 * sample ids.
-    texts = docs.select(docs[id_column].cast("long").alias("label_id"), docs[text_column].alias("label_text")).join(F.broadcast(chosen), "label_id")
-    found = cut(texts.select("label_id", "y", slots("label_text").alias("slots")).groupBy("label_id").agg(F.max("y").alias("y"), F.min("slots").alias("slots")))
-    both = {r["y"] for r in found.select("y").distinct().collect()}
-    if len(both) < 2:
-        return fit([[]] * len(both), [*both], share)
-    best, total = [], 0
-    for r in _telling(found, least, kept).collect():
-        total += r["n"]
-        if total > entries:
-            break
-        best.append(r["slot"])
-    known = np.zeros(SLOTS, dtype=bool)
-    known[best] = True
-
-    @F.pandas_udf("binary")
-    def packed(rows: pd.Series) -> pd.Series:
-        return pd.Series([np.asarray(r, dtype="<i4")[known[np.asarray(r, dtype=int)]].tobytes() for r in rows], dtype=object)
-
-    rows = found.select("label_id", "y", packed("slots").alias("slots")).collect()
-    rows.sort(key=lambda r: r["label_id"])
-    return fit([np.frombuffer(r["slots"], dtype="<i4") for r in rows], [r["y"] for r in rows], share)
+    with steps(docs.sparkSession):
+        # At most 2 * sample ids.
+        texts = docs.select(docs[id_column].cast("long").alias("label_id"), docs[text_column].alias("label_text")).join(F.broadcast(chosen), "label_id")
+        found = cut(texts.select("label_id", "y", slots("label_text").alias("slots")).groupBy("label_id").agg(F.max("y").alias("y"), F.min("slots").alias("slots")))
+        both = {r["y"] for r in found.select("y").distinct().collect()}
+        if len(both) < 2:
+            return fit([[]] * len(both), [*both], share)
+        best, total = [], 0
+        for r in _telling(found, least, kept).collect():
+            total += r["n"]
+            if total > entries:
+                break
+            best.append(r["slot"])
+        known = np.zeros(SLOTS, dtype=bool)
+        known[best] = True
+
+        @F.pandas_udf("binary")
+        def packed(rows: pd.Series) -> pd.Series:
+            return pd.Series([np.asarray(r, dtype="<i4")[known[np.asarray(r, dtype=int)]].tobytes() for r in rows], dtype=object)
+
+        rows = found.select("label_id", "y", packed("slots").alias("slots")).collect()
+        rows.sort(key=lambda r: r["label_id"])
+        return fit([np.frombuffer(r["slots"], dtype="<i4") for r in rows], [r["y"] for r in rows], share)
 
 
 class Scorer:
@@ -183,13 +184,15 @@ class Scorer:
 
 def score_column(machine: Machine, text: Column) -> Column:
     """The score of a text column; the machine, of bounded size, travels with the function."""
-    keep: list[Scorer] = []
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(machine)
+        for texts in batches:
+            yield pd.Series([scorer.score(t) for t in texts], dtype=float)
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        if not keep:
-            keep.append(Scorer(machine))
-        return pd.Series([keep[0].score(t) for t in texts], dtype=float)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from tidy(run)(batches)
 
     return score(text)
 

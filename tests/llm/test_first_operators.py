@@ -160,7 +160,7 @@ def test_toxicity_odd_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     machine = toxicity.train(docs, none)
     scores = [r["s"] for r in docs.select(toxicity.score_column(machine, F.col("text")).alias("s")).collect()]
-    assert len(scores) == len(TEXTS) and all(0 <= s <= 1 for s in scores)
+    assert scores == [0.25] * len(TEXTS)
     some = spark.createDataFrame([(1, 1), (3, 0), (3, None), (None, 1), (77, 0)], "doc_id long, toxic int")
     assert 0 < toxicity.train(docs, some).bias + 100
     assert docs.limit(0).select(toxicity.score_column(machine, F.col("text")).alias("s")).count() == 0
