@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import exact_dedup, near_dedup, packing, substring_dedup, toxicity
-from siltstone.llm.common import cut, keep_ids, scratch, table, written
+from siltstone.llm.common import cut, keep_ids, scratch, steps, table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,5 +80,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     with scratch(spark, "pipeline") as path:
         docs = table(spark, sf_dir, "documents")
         for i, (_, stage) in enumerate(STAGES[:-1]):
-            docs = written(stage(spark, docs, sf_dir), f"{path}/{i}")
+            with steps(spark):  # what the stage has written down on its way
+                docs = written(stage(spark, docs, sf_dir), f"{path}/{i}")
         return cut(STAGES[-1][1](spark, docs, sf_dir))
