@@ -66,12 +66,31 @@ class Words:
             out = mix(out * np.uint64(3) + h[i : len(h) - k + 1 + i])
         return out
 
-    def text(self, i: int, low: int, high: int) -> bytes:
-        """Words low .. high - 1 of text i, joined by one space."""
-        a = self.bounds[i]
-        raw = self.data.tobytes() if not hasattr(self, "_raw") else self._raw
-        self._raw = raw
-        return b" ".join([raw[s:e] for s, e in zip(self.starts[a + low : a + high].tolist(), self.ends[a + low : a + high].tolist(), strict=True)])
+    def texts(self, first: np.ndarray, stop: np.ndarray) -> list[bytes]:
+        """Words first .. stop - 1 (counted over all texts, none of no words), joined by one space, for each pair."""
+        raw = self.data.tobytes()
+        # How many gaps between neighbouring words, so far, are not one space.
+        odd = np.zeros(len(self.starts), dtype=np.int64)
+        if len(self.starts) > 1:
+            np.cumsum((self.starts[1:] - self.ends[:-1] != 1) | (self.data[np.minimum(self.ends[:-1], len(self.data) - 1)] != 0x20), out=odd[1:])
+        plain = odd[first] == odd[stop - 1]
+        return [raw[a:b] if p else b" ".join(raw[a:b].split()) for a, b, p in zip(self.starts[first].tolist(), self.ends[stop - 1].tolist(), plain.tolist(), strict=True)]
+
+    def numbers(self) -> np.ndarray:
+        """The words as numbers from 0, equal for equal bytes only: hashes say which may be equal, bytes are compared."""
+        _, first, number = np.unique(self.hashes, return_index=True, return_inverse=True)
+        sizes = self.ends - self.starts
+        like = first[number]  # a word with the same hash
+        same = (sizes == sizes[like]).all()
+        if same:
+            shift = np.repeat(self.starts[like] - self.starts, sizes)
+            inside = np.repeat(self.starts - np.cumsum(sizes) + sizes, sizes) + np.arange(len(shift))
+            same = (self.data[inside] == self.data[inside + shift]).all()
+        if not same:  # two words have one hash
+            raw = self.data.tobytes()
+            known: dict[bytes, int] = {}
+            return np.array([known.setdefault(raw[a:b], len(known)) for a, b in zip(self.starts.tolist(), self.ends.tolist(), strict=True)], dtype=np.int64)
+        return number
 
 
 def chunks(column: pa.Array, lower: bool) -> Iterator[tuple[int, Words]]:

@@ -40,7 +40,7 @@ def answer(docs, **options):
     return Counter(tuple(r) for r in rows)
 
 
-@pytest.mark.parametrize("shard_passages", [500, 60_000])
+@pytest.mark.parametrize("shard_passages", [3, 500, 60_000])
 def test_documents(spark, shard_passages):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     assert answer(docs, shard_passages=shard_passages) == by_hand([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()], 20)
@@ -76,6 +76,22 @@ def test_index(passages, length):
     index = fm_index.FMIndex(np.array(flat))
     starts = [i for i in range(len(flat) - length + 1) if 0 not in flat[i : i + length]]
     expected = [any(flat[j : j + length] == flat[i : i + length] for j in range(i)) for i in starts]
-    assert index.repeated(np.array(starts), length).tolist() == expected
+    lengths, lows, highs = index.matching_statistics(np.array(flat), np.array(starts, dtype=np.int64) + length, length, places=2)
+    several = [sum(flat[j : j + length] == flat[i : i + length] for j in starts) > 1 for i in starts]
+    assert (lengths == length).tolist() == several
+    assert [n and min(index.places(np.arange(a, b))) < i for n, a, b, i in zip(several, lows, highs, starts, strict=True)] == expected
     pattern = passages[0][:length]
     assert index.locate(np.array(pattern)).tolist() == [i for i in starts if flat[i : i + length] == pattern]
+    assert index.places(np.arange(len(flat))).tolist() == fm_index.suffix_array(np.array(flat)).tolist()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 3), min_size=1, max_size=9), min_size=1, max_size=6), st.lists(st.integers(1, 5), min_size=1, max_size=12), st.integers(1, 6), st.integers(1, 3))
+def test_matching_statistics(passages, text, limit, places):
+    """Another text streamed against the index, with symbols that the index has not."""
+    flat = [x for p in passages for x in [*p, 0]]
+    found, lows, highs = fm_index.FMIndex(np.array(flat)).matching_statistics(np.array(text), np.arange(1, len(text) + 1), limit, places)
+    count = lambda p: sum(flat[i : i + len(p)] == p for i in range(len(flat)))
+    for end, n, a, b in zip(range(1, len(text) + 1), found.tolist(), lows.tolist(), highs.tolist(), strict=True):
+        assert n == max([k for k in range(1, min(limit, end) + 1) if count(text[end - k : end]) >= places], default=0)
+        assert n == 0 or b - a == count(text[end - n : end])
