@@ -55,13 +55,16 @@ def tidy(run):
     """
 
     def whole(batches):
+        with suppress(OSError, AttributeError):  # not every C library has these
+            # M_MMAP_THRESHOLD: arrays of 4 MB and more go back as soon as they are freed.
+            ctypes.CDLL(None).mallopt(-3, 4 << 20)
         try:
             yield from run(batches)
         finally:
             import pyarrow as pa
 
             pa.default_memory_pool().release_unused()
-            with suppress(OSError, AttributeError):  # not every C library has it
+            with suppress(OSError, AttributeError):
                 ctypes.CDLL(None).malloc_trim(0)
 
     return whole
@@ -85,7 +88,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 def _file(written_down: DataFrame) -> str:
     """The folder of a frame that ``cut`` gave."""
-    return written_down._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+    # The plan of a frame that was checkpointed is a scan whose second field is what was checkpointed.
+    return written_down._jdf.queryExecution().analyzed().productElement(1).getCheckpointFile().get()
 
 
 def discard(df: DataFrame) -> None:

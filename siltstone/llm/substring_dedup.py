@@ -5,8 +5,8 @@ least, so that equal windows have equal anchors.
 
 1. Anchors of all windows are written down; those that occur once have no repeated window and are left out.
 2. Documents give, for each anchor that repeats, the passage of the windows that have this anchor; it goes to the shard of
-   the anchor's hash. An anchor that occurs more often than a shard has passages gives its windows one by one, each to the
-   shard of its own hash. Tasks send equal passages as one row with all their places, so that what a third of all documents
+   the anchor's hash. An anchor that occurs more than ``hot`` times gives its windows one by one, each to the shard of its
+   own hash. Tasks send equal passages as one row with all their places, so that what a third of all documents
    share is not gathered.
 3. Each shard indexes its passages in order of place (Burrows-Wheeler transform in a wavelet matrix) and streams them
    against the index: backward search, word by word, gives matching statistics, the length of the longest stretch ending at
@@ -41,7 +41,9 @@ from siltstone.llm.words import Words, chunks
 
 ANCHOR = 6
 #: A task gathers the places of equal passages up to so many before it sends them on; which it does never shows in a result.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
+#: An anchor that occurs more often than this gives its windows one by one.
+HOT = 60_000
 LAST = 2**63 - 1
 
 
@@ -249,12 +251,12 @@ def _clean(verbatim: bool):
     return run
 
 
-def repeated_intervals(base: DataFrame, window: int, shard_passages: int) -> DataFrame:
+def repeated_intervals(base: DataFrame, window: int, shard_passages: int, hot: int) -> DataFrame:
     """(key, version, start, stop) of words to remove, for base (key, doc_id, version, text)."""
     spark = base.sparkSession
     with scratch(spark, "anchors") as path:
         anchors = written(base.select("key", "text").mapInArrow(tidy(_anchors(window)), "h long, key long, pos int"), f"{path}/all")
-        often = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("h").alias("g"), (F.col("n") > shard_passages).alias("hot"))
+        often = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("h").alias("g"), (F.col("n") > hot).alias("hot"))
         # Written down, so that the places of an anchor that very many have can be split over tasks when they are joined.
         often = written(often, f"{path}/often")
         pos = F.when(F.col("hot"), -1 - F.col("pos")).otherwise(F.col("pos"))
@@ -271,7 +273,7 @@ def repeated_intervals(base: DataFrame, window: int, shard_passages: int) -> Dat
     return routed.repartition("shard").sortWithinPartitions("shard", "place", "version", "start").mapInArrow(tidy(_shards(window)), "key long, version long, start long, stop long")
 
 
-def remove_repeats(docs: DataFrame, window: int = 20, shard_passages: int = 60_000, id_column: str = "doc_id", text_column: str = "text", carry: Sequence[str] = (), verbatim: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 20, shard_passages: int = 20_000, hot: int = HOT, id_column: str = "doc_id", text_column: str = "text", carry: Sequence[str] = (), verbatim: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of each row: ``kept`` are the words that stay, joined by one space.
 
     ``carry`` names columns that come along in a struct ``carried``; with ``verbatim``, texts that lose nothing stay as they are.
@@ -285,7 +287,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, shard_passages: int = 60_0
     version = F.when(doc_id.isNotNull(), F.lit(0).cast("long")).otherwise(hashed) if unique else hashed
     # Both joins below take the same columns, so that Spark shuffles the texts once.
     base = docs.select(F.coalesce(doc_id, hashed).alias("key"), doc_id.alias("doc_id"), version.alias("version"), text.alias("text"), *([F.struct(*[docs[c] for c in carry]).alias("carried")] if carry else []))
-    found = repeated_intervals(base, window, shard_passages)
+    found = repeated_intervals(base, window, shard_passages, hot)
     spans = found.groupBy("key").agg(F.collect_list(F.struct("version", F.col("start").cast("int").alias("start"), F.col("stop").cast("int").alias("stop"))).alias("spans")).withColumnRenamed("key", "of")
     rows = base.join(spans, F.col("key") == F.col("of"), "left").select("doc_id", "version", "text", "spans", *(["carried"] if carry else []))
     kind = f", carried {base.schema['carried'].dataType.simpleString()}" if carry else ""

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.llm import chat, exact_dedup, packing, sharding, templates, toxicity
+from siltstone.llm import chat, common, exact_dedup, packing, sharding, templates, toxicity
 
 ODD_DOCS = "doc_id long, text string, lang string, source string, n_chars long, sha string, id long, norm string"
 
@@ -70,6 +70,28 @@ def test_many_runs_and_levels(spark, tmp_path, keep):
     assert Counter(tuple(r) for r in found) == groups_by_hand(texts, keep)
 
 
+def test_steps_delete_their_files(spark):
+    """What is written down inside a block goes at its end; its result, and what an outer block has, stay."""
+    there = lambda df: spark._jvm.org.apache.hadoop.fs.Path(common._file(df)).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(common._file(df)))
+    with common.steps(spark):
+        outer = common.cut(spark.range(9))
+        with common.steps(spark) as result:
+            first, second = common.cut(outer.filter("id > 1")), common.cut(outer.filter("id > 2"))
+            common.discard(first)
+            assert not there(first) and there(second)
+            kept = result(second.filter("id > 4"))
+        assert not there(second) and there(outer) and kept.count() == 4
+    assert not there(outer) and not there(kept)
+
+
+def test_filters_lose_nothing(spark):
+    rows = spark.range(20000).withColumn("k", F.when(F.col("id") % 7 > 0, F.concat(F.lit("k"), "id")))
+    wanted = rows.filter("id % 500 = 0").select("k")
+    found = {r["id"] for r in common.sieve(rows, "k", wanted, "k").collect()}
+    assert set(range(0, 20000, 500)) <= found and len(found) < 6000
+    assert common.sieve(rows, "k", wanted.limit(0), "k").count() == 0
+
+
 def check_packing(texts, rows, window=2048):
     from tokenizers import Tokenizer
 

@@ -43,7 +43,7 @@ def answer(docs, **options):
 @pytest.mark.parametrize("shard_passages", [3, 500, 60_000])
 def test_documents(spark, shard_passages):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    assert answer(docs, shard_passages=shard_passages) == by_hand([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()], 20)
+    assert answer(docs, shard_passages=shard_passages, hot=shard_passages) == by_hand([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()], 20)
 
 
 def frame(spark, texts):
@@ -58,7 +58,7 @@ def test_hard_rows(spark):
     passage = " ".join(f"w{i}" for i in range(60))
     texts += [(2000 - i, f"n{i} {passage} m{i}") for i in range(200)]
     assert answer(frame(spark, texts)) == by_hand(texts, 20)
-    assert answer(frame(spark, texts), window=9, shard_passages=100) == by_hand(texts, 9)
+    assert answer(frame(spark, texts), window=9, shard_passages=100, hot=100) == by_hand(texts, 9)
 
 
 def test_rows_without_id_or_that_repeat(spark):
