@@ -26,7 +26,7 @@ from siltstone.llm.common import table, tidy
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE = 200_000
+CACHE = 400_000
 TEXTS_AT_ONCE = 500
 
 
