@@ -12,7 +12,7 @@ from siltstone.operators.join import joined_scenarios
 from siltstone.plans import pipeline, versions
 from siltstone.plans.queries_tables import settled, workspace
 from siltstone.plans.registry import Register, table
-from siltstone.plans.scenario_tables import FILES, HAS_FEATURES, SQL, TYPE, VALUES, in_bronze, landed_features, landed_labels, put_files
+from siltstone.plans.scenario_tables import FILES, HAS_FEATURES, SQL, TYPE, VALUES, in_bronze, landed_features, landed_labels, parts, put_files
 from siltstone.schema import GOLD, GOLD_CHECKS, LABELS_DDL, MEASURES, REJECTED, SILVER_FEATURES, SILVER_KEYS, SILVER_LABELS, SILVER_SITUATION, SILVER_STAKEHOLDER
 from siltstone.sources import files
 from siltstone.sources.json_scan import read_sources
@@ -40,13 +40,13 @@ def joined_text(name):
 # ---- landing
 
 
-def put_odd_labels(spark, d, folder):
+def put_odd_labels(spark, d, folder, **dealt):
     """Arrays as they are, except where the text of one stands instead."""
     rows = landed_labels(spark, d).filter("conv_id % 11 <> 1").withColumn("note", F.when(F.expr("conv_id % 11 = 0"), F.lit("seen")))
-    put_files(spark, rows, folder, "labelled_alternatives_a")
+    put_files(spark, rows, folder, "labelled_alternatives_a", **dealt)
     bad = landed_labels(spark, d).filter("conv_id % 11 = 1").select("conv_id", "file", "id", F.lit("no array").alias("labelled_alternatives"))
-    put_files(spark, bad, folder, "labelled_alternatives_b")
-    put_files(spark, landed_features(spark, d), folder, "frozen_dataset")
+    put_files(spark, bad, folder, "labelled_alternatives_b", **dealt)
+    put_files(spark, landed_features(spark, d), folder, "frozen_dataset", **dealt)
 
 
 ODD = f"{WITH.rstrip()}, r AS (SELECT DISTINCT conv_id, scenario_id FROM l), odd AS (SELECT scenario_id AS id, conv_id, CASE WHEN conv_id % 11 = 1 THEN NULL ELSE (SELECT count(*) FROM l WHERE l.conv_id = r.conv_id) END AS labels, CASE conv_id % 11 WHEN 0 THEN 'unknown field' WHEN 1 THEN 'bad value' END AS rescued, 'labelled_alternatives_' || CASE WHEN conv_id % 11 = 1 THEN 'b' ELSE 'a' END || '_' || (conv_id % {FILES}) || '.json' AS _source_file FROM r)"
@@ -60,7 +60,7 @@ def why_rescued():
 def scan_json_nested(spark, d):
     """Nested files scanned by their pinned schema; records with unknown fields or bad values are rescued, others are not touched."""
     with workspace(spark) as path:
-        put_odd_labels(spark, d, f"{path}/raw")
+        put_odd_labels(spark, d, f"{path}/raw", parts=parts(spark, d))
         config = PipelineConfig(raw_dir=f"{path}/raw")
         present = [f for f in files.describe(spark, config) if f.kind == LABELS]
         rows = read_sources(spark, present, LABELS_DDL, "b1")

@@ -20,6 +20,8 @@ PREF = "CASE WHEN n % 37 = 0 THEN CAST(1.4 AS DOUBLE) ELSE (n % 101) / CAST(100
 CONF = "CASE WHEN n % 41 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(0.8 AS DOUBLE) END"
 #: Files that a scenario's records are in, of each kind.
 FILES = 3
+#: Turns in a file, of either kind: some 9 MB of features, 2 MB of labels.
+PART_TURNS = 20_000
 HAS_FEATURES, HAS_LABELS, LABELLED, TWICE = "conv_id % 17 <> 3", "conv_id % 19 <> 4", "(turn + conv_id) % 13 <> 5", "conv_id % 9 = 0"
 TYPE = "CASE WHEN scenario_id LIKE 'control%' THEN 'control_synthetic' WHEN scenario_id LIKE 'expert%' THEN 'expert_annotated' ELSE 'llm_generated' END"
 
@@ -64,17 +66,28 @@ def in_bronze(records: DataFrame, batch: str = "b1") -> DataFrame:
     return records.withColumn("_source_file", F.concat(F.lit("file_"), "file")).withColumn("_batch_id", F.lit(batch)).drop("conv_id", "file")
 
 
-def put_files(spark: SparkSession, records: DataFrame, folder: str, stem: str) -> None:
-    """Write records (file, ...) as files ``<stem>_<file>.json``, each one JSON array."""
+def parts(spark: SparkSession, d: str) -> int:
+    """Into how many files each of the ``FILES`` is to be dealt, so that none has many more than ``PART_TURNS`` turns."""
+    return max(1, -(-table(spark, d, "conversations").count() // (FILES * PART_TURNS)))
+
+
+def put_files(spark: SparkSession, records: DataFrame, folder: str, stem: str, parts: int = 1, folders: bool = False) -> None:
+    """Write records (file, conv_id, ...) as files, each one JSON array: ``<stem>_<file>.json``.
+
+    With several ``parts``, that many files take the place of one: ``<stem>_<file>_<part>.json``, or with ``folders``, the
+    same name in a folder for each part. A record is in the same part whenever the number of parts is the same.
+    """
     fields = [c for c in records.columns if c not in ("file", "conv_id")]
     drafts = f"{folder}-drafts-{stem}"
-    records.groupBy("file").agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value")).repartition("file").write.partitionBy("file").text(drafts)
+    dealt = records.withColumn("part", F.pmod(F.xxhash64("conv_id"), F.lit(parts)))
+    dealt.groupBy("file", "part").agg(F.to_json(F.collect_list(F.struct(*fields))).alias("value")).write.partitionBy("file", "part").text(drafts)
     hadoop = spark._jvm.org.apache.hadoop.fs
     system = hadoop.Path(drafts).getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(hadoop.Path(folder))
-    for part in system.globStatus(hadoop.Path(f"{drafts}/file=*/part-*")) or ():
-        name = part.getPath().getParent().getName().split("=")[1]
-        target = hadoop.Path(f"{folder}/{stem}_{name}.json")
+    for found in system.globStatus(hadoop.Path(f"{drafts}/file=*/part=*/part-*")) or ():
+        file, part = (x.split("=")[1] for x in found.getPath().toString().split("/")[-3:-1])
+        target = hadoop.Path(f"{folder}/{part}/{stem}_{file}.json" if folders else f"{folder}/{stem}_{file}{f'_{part}' if parts > 1 else ''}.json")
+        system.mkdirs(target.getParent())
         system.delete(target, False)
-        system.rename(part.getPath(), target)
+        system.rename(found.getPath(), target)
     system.delete(hadoop.Path(drafts), True)

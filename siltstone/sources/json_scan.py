@@ -27,11 +27,11 @@ class UnreadableFile(ValueError):
 def typed(whole: DataFrame, schema: str, keep: Sequence[str] = (SOURCE,)) -> DataFrame:
     """Records of frames (v, ...) that have a file's content as a variant; works on streams as well."""
     struct = T.StructType.fromDDL(schema)
-    array = F.coalesce(F.schema_of_variant("v").startswith("ARRAY"), F.lit(False))
-    # An empty array has no records; what is no array has one that is null.
-    items = F.when(array, F.expr("try_variant_get(v, '$', 'array<variant>')")).otherwise(F.array(F.lit(None).cast("variant")))
-    one = whole.select(*keep, array.alias("_array"), F.explode(items).alias("_value"))
-    text = one.select(*keep, "_array", F.to_json("_value").alias("_text"))
+    # An empty array has no records; what is no array has one that is null, as no item of an array is (a JSON null is a
+    # variant). So nothing about a file is asked of its content again for each of its records.
+    items = F.coalesce(F.expr("try_variant_get(v, '$', 'array<variant>')"), F.array(F.lit(None).cast("variant")))
+    one = whole.select(*keep, F.explode(items).alias("_value"))
+    text = one.select(*keep, F.col("_value").isNotNull().alias("_array"), F.to_json("_value").alias("_text"))
     parsed = text.withColumn("_r", F.from_json("_text", T.StructType([*struct.fields, T.StructField("_bad", T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     extra = F.size(F.array_except(F.json_object_keys("_text"), F.array(*[F.lit(f.name) for f in struct]))) > 0
     rescued = F.when(~F.col("_array"), NO_ARRAY).when(F.col("_r._bad").isNotNull() | F.coalesce(extra, F.lit(True)), F.coalesce("_text", F.lit("null")))
