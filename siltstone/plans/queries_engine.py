@@ -82,11 +82,11 @@ def provenance_columns(spark, d):
 
 @R.add("stream_records", f"{ODD} SELECT id, labels, rescued, _source_file, true AS no_hash FROM odd")
 def stream_records(spark, d):
-    """The same files arriving by a stream, with rescue column and lineage."""
+    """The same records arriving by a stream, with rescue column and lineage; files of one name come from several folders."""
     with workspace(spark) as path:
-        put_odd_labels(spark, d, f"{path}/raw")
+        put_odd_labels(spark, d, f"{path}/raw", parts=parts(spark, d), folders=True)
         landed = VersionedTable(spark, f"{path}/bronze")
-        arrive(spark, f"{path}/raw", SOURCES[LABELS], LABELS_DDL, landed, f"{path}/progress", "b1")
+        arrive(spark, f"{path}/raw/*", SOURCES[LABELS], LABELS_DDL, landed, f"{path}/progress", "b1")
         size = F.when(F.col("labelled_alternatives").isNotNull(), F.size("labelled_alternatives")).cast("long")
         return settled(landed.read().select("id", size.alias("labels"), why_rescued().alias("rescued"), "_source_file", F.col("_file_hash").isNull().alias("no_hash")))
 

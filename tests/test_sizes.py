@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 from collections import Counter
+from glob import glob
 
 import duckdb
 import pytest
 
-from siltstone.plans import catalog, scenario_tables
+from siltstone.plans import catalog, queries_engine, scenario_tables
 from siltstone.schema import LABELS_DDL
 from siltstone.sources.json_scan import NO_ARRAY, records
+from siltstone.streaming import ingest
 
 
 def nodes(plan, name):
@@ -60,3 +62,15 @@ def test_files_are_bounded(spark, small, tmp_path, dealt):
 
 def test_scan_of_several_files(spark, small, dealt):
     assert same_as_sql(spark, small, "scan_json_nested")
+
+
+def test_stream_of_several_folders(spark, small, dealt, monkeypatch):
+    found = []
+
+    def arrive(spark, folder, *more):
+        found.extend(glob(f"{folder.removeprefix('file:')}/labelled_alternatives_a_*.json"))
+        ingest.arrive(spark, folder, *more)
+
+    monkeypatch.setattr(queries_engine, "arrive", arrive)
+    assert same_as_sql(spark, small, "stream_records")
+    assert len(found) > len({f.rsplit("/", 1)[1] for f in found}) == scenario_tables.FILES
