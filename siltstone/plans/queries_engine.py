@@ -256,8 +256,9 @@ def topk_distinct(spark, d):
 
 
 def put_raw(spark, d, folder, where="true", names=("labelled_alternatives", "frozen_dataset")):
-    put_files(spark, landed_labels(spark, d).filter(where), folder, names[0])
-    put_files(spark, landed_features(spark, d).filter(where), folder, names[1])
+    n = parts(spark, d)
+    put_files(spark, landed_labels(spark, d).filter(where), folder, names[0], n)
+    put_files(spark, landed_features(spark, d).filter(where), folder, names[1], n)
 
 
 def unjudged(labels):

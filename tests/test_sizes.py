@@ -9,7 +9,7 @@ from glob import glob
 import duckdb
 import pytest
 
-from siltstone.plans import catalog, queries_engine, scenario_tables
+from siltstone.plans import catalog, pipeline, queries_engine, scenario_tables, versions
 from siltstone.schema import LABELS_DDL
 from siltstone.sources.json_scan import NO_ARRAY, records
 from siltstone.streaming import ingest
@@ -74,3 +74,21 @@ def test_stream_of_several_folders(spark, small, dealt, monkeypatch):
     monkeypatch.setattr(queries_engine, "arrive", arrive)
     assert same_as_sql(spark, small, "stream_records")
     assert len(found) > len({f.rsplit("/", 1)[1] for f in found}) == scenario_tables.FILES
+
+
+@pytest.fixture
+def raw_files(monkeypatch):
+    """Names of the raw files of each run of a build."""
+    runs = []
+
+    def run_pipeline(spark, config, *more, **named):
+        runs.append({f.rsplit("/", 1)[1] for f in glob(f"{config.raw_dir.removeprefix('file:')}/*.json")})
+        return pipeline.run_pipeline(spark, config, *more, **named)
+
+    monkeypatch.setattr(versions, "run_pipeline", run_pipeline)
+    return runs
+
+
+def test_builds_of_many_files(spark, small, dealt, raw_files):
+    assert same_as_sql(spark, small, "version_diff_transitions")
+    assert len(raw_files) == 2 and len(raw_files[0]) > 2 * scenario_tables.FILES
