@@ -297,7 +297,7 @@ def pipeline_stages(spark, d):
         run("none")
         put_raw(spark, d, config.raw_dir, REST)
         run("next")
-        put_files(spark, unjudged(landed_labels(spark, d).filter("file = 0")), config.raw_dir, "labelled_alternatives")
+        put_files(spark, unjudged(landed_labels(spark, d).filter("file = 0")), config.raw_dir, "labelled_alternatives", parts(spark, d))
         run("replaced")
         return settled(spark.createDataFrame(found, "stage string, skipped boolean, changed long, labels long, features long, gold long, rejected long"))
 

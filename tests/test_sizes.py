@@ -92,3 +92,17 @@ def raw_files(monkeypatch):
 def test_builds_of_many_files(spark, small, dealt, raw_files):
     assert same_as_sql(spark, small, "version_diff_transitions")
     assert len(raw_files) == 2 and len(raw_files[0]) > 2 * scenario_tables.FILES
+
+
+def test_a_replaced_file_keeps_its_parts(spark, small, dealt, monkeypatch):
+    """Landing the records of a file again replaces all of its parts, and adds no file."""
+    files = []
+
+    def run_pipeline(spark, config):
+        files.append({f.rsplit("/", 1)[1] for f in glob(f"{config.raw_dir.removeprefix('file:')}/*.json")})
+        return pipeline_run(spark, config)
+
+    pipeline_run = pipeline.run_pipeline
+    monkeypatch.setattr(pipeline, "run_pipeline", run_pipeline)
+    assert same_as_sql(spark, small, "pipeline_stages")
+    assert len(files) == 4 and files[0] == files[1] < files[2] == files[3] and len(files[3]) > 2 * scenario_tables.FILES
